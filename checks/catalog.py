@@ -25,7 +25,7 @@ from claimspark.operators import reimburse as r
 from claimspark.plans import reimbursement as job
 from claimspark.plans import statements as st
 from claimspark.plans.headers import resolved_headers, validate_headers
-from claimspark.session import shared_dir
+from claimspark.session import shared_dir, staged
 from claimspark.sources import tables as s
 from claimspark.sources.keys import assign_ids
 
@@ -77,9 +77,9 @@ class Frames(Derived):
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return resolved_headers(
+        return staged(resolved_headers(
             self["message"], self["plan"], self["provider"], self["termination"], self["config"], AS_OF, TENANT
-        )
+        ))
 
     def matched(self, clean: bool = True) -> DataFrame:
         return h.match_credentials(
@@ -93,7 +93,7 @@ class Frames(Derived):
 
     @cached_property
     def contracted(self) -> DataFrame:
-        return a.contracted_provider(self.asked, self["provider"], self["address"])
+        return staged(a.contracted_provider(self.asked, self["provider"], self["address"]))
 
     @cached_property
     def fine(self) -> DataFrame:
@@ -103,11 +103,11 @@ class Frames(Derived):
     @cached_property
     def judged(self) -> DataFrame:
         asked = a.requested_protocols(self.fine, self["req_proto"])
-        return a.protocol_verdict(asked, self["protocol"], self["lot"], self["provider"])
+        return staged(a.protocol_verdict(asked, self["protocol"], self["lot"], self["provider"]))
 
     @cached_property
     def rows(self) -> DataFrame:
-        return a.protocol_claims(self.judged, self["claim"], self["lot"], self["invoice"])
+        return staged(a.protocol_claims(self.judged, self["claim"], self["lot"], self["invoice"]))
 
     @cached_property
     def totals(self) -> DataFrame:
@@ -115,7 +115,7 @@ class Frames(Derived):
 
     @cached_property
     def inner(self) -> DataFrame:
-        return a.guide_lines(self.rows, self["guide"], self["member"], self["provider"])
+        return staged(a.guide_lines(self.rows, self["guide"], self["member"], self["provider"]))
 
     @cached_property
     def procs(self) -> DataFrame:
@@ -128,32 +128,32 @@ class Frames(Derived):
 
     @cached_property
     def payable_requests(self) -> DataFrame:
-        return p.payment_verdict(self.periods).filter(F.col("g_corpo").isNull())
+        return staged(p.payment_verdict(self.periods).filter(F.col("g_corpo").isNull()))
 
     @cached_property
     def dates(self) -> DataFrame:
-        return p.payment_dates(
+        return staged(p.payment_dates(
             self.payable_requests, self["transfer"], self["invoice"], self["payable"], self["payable_item"],
             self["payment"], self["provider"], self["ownpay"], self["config"],
-        )
+        ))
 
     @cached_property
     def items(self) -> DataFrame:
-        return p.payment_items(
+        return staged(p.payment_items(
             self.dates, self["transfer"], self["invoice"], self["payable"], self["payable_item"], self["payment"],
             self["provider"], self["config"],
-        )
+        ))
 
     @cached_property
     def transfer_sums(self) -> DataFrame:
         wanted = p.transfers_of(self.items, self["transfer"])
-        return p.transfer_summary(wanted, self["claim"], self["lot"], self["protocol"], self["batch_guide"])
+        return staged(p.transfer_summary(wanted, self["claim"], self["lot"], self["protocol"], self["batch_guide"]))
 
     @cached_property
     def payable_credits(self) -> DataFrame:
-        return p.payable_credits(
+        return staged(p.payable_credits(
             self.items, self["transfer"], self["protocol"], self["lot"], self["claim"], self["creddeb"]
-        )
+        ))
 
     @cached_property
     def credits(self) -> DataFrame:
@@ -169,7 +169,7 @@ class Frames(Derived):
     # whole jobs, with header verdict and gate
     @cached_property
     def gated(self) -> DataFrame:
-        return st.judged_requests(self, AS_OF, TENANT)
+        return staged(st.judged_requests(self, AS_OF, TENANT))
 
     def analysis(self, grain: str) -> DataFrame:
         return st.analysis_statement(self.gated.filter(F.col("ds_destino") == "ANALISE"), self, AS_OF)[grain]

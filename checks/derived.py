@@ -7,10 +7,13 @@ FIXTURES.md describes the tables; ``fx_config`` is written as one branch per key
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from claimspark.schemas import conform
+from claimspark.session import shared_dir
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -232,23 +235,39 @@ def needed(sql: str, known: dict[str, str]) -> list[str]:
     return order
 
 
+_STORED: dict[tuple[str, str], dict[str, tuple[str, StructType]]] = {}
+
+
 class Derived:
-    """Domain tables by name, built on first use: ``Derived(spark, dir)["item"]``."""
+    """Domain tables by name, stored on first use: ``Derived(spark, dir)["item"]``.
+
+    The jobs work on stored tables, so each derived table is written once per
+    application to the shared folder and read from there.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self._made: dict[str, DataFrame] = {}
+        self._files = _STORED.setdefault((spark.sparkContext.applicationId, sf_dir), {})
 
     def view(self, name: str) -> DataFrame:
         """Derived table ``fx_<name>`` as the SQL gives it."""
-        if name not in self._made:
-            for base in BASE:
-                self.spark.read.parquet(f"{self.sf_dir}/{base}.parquet").createOrReplaceTempView(base)
-            for step in [*needed(SQL[name], SQL), name]:
-                df = self.spark.sql(SQL[step])
-                df.createOrReplaceTempView(step)
-                self._made[step] = df
-        return self._made[name]
+        for step in [*needed(SQL[name], SQL), name]:
+            if step not in self._files:
+                self._files[step] = self._store(step)
+        path, schema = self._files[name]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _store(self, step: str) -> tuple[str, StructType]:
+        sources = set(re.findall(r"\b[a-z]\w+\b", SQL[step]))
+        for base in sources & set(BASE):
+            self.spark.read.parquet(f"{self.sf_dir}/{base}.parquet").createOrReplaceTempView(base)
+        for earlier in sources & set(self._files):
+            path, schema = self._files[earlier]
+            self.spark.read.schema(schema).parquet(path).createOrReplaceTempView(earlier)
+        df = self.spark.sql(SQL[step])
+        path = f"{shared_dir(self.spark)}/derived/{uuid.uuid4().hex}/{step}"
+        df.write.parquet(path)
+        return path, df.schema
 
     def __getitem__(self, name: str) -> DataFrame:
         """Table ``name`` in its explicit schema."""

@@ -15,16 +15,13 @@ from claimspark.operators import analysis as a
 from claimspark.operators import dispatch as d
 from claimspark.operators import payment as p
 from claimspark.plans.headers import validate_headers
+from claimspark.session import staged
 from claimspark.sources.keys import assign_ids
 
 Tables = Mapping[str, DataFrame]
 Stage = Callable[[DataFrame], DataFrame]
 
 
-def as_is(df: DataFrame) -> DataFrame:
-    return df
-
-
 def judged_requests(t: Tables, as_of: date, tenant: int, fix_network_login: bool = False) -> DataFrame:
     """Readable requests with their header verdict, route and reply provider."""
     verdicts = validate_headers(
@@ -35,13 +32,13 @@ def judged_requests(t: Tables, as_of: date, tenant: int, fix_network_login: bool
     return d.provider_fallback(d.route(d.service_gate(read, t["config"])))
 
 
-def analysis_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = as_is) -> dict[str, DataFrame]:
+def analysis_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = staged) -> dict[str, DataFrame]:
     """Analysis statements of the requests routed to them.
 
-    ``stage`` materialises the frames that several grains start from, e.g.
-    ``claimspark.session.staged``.
+    Frames that several grains start from are materialised by ``stage``: they are read
+    often, and a plan that repeats them grows with every use.
     """
-    judged = a.body_verdict(a.contracted_provider(req, t["provider"], t["address"]))
+    judged = stage(a.body_verdict(a.contracted_provider(req, t["provider"], t["address"])))
     fine = judged.filter(F.col("g_cabecalho").isNull() & F.col("g_corpo").isNull())
     asked = a.requested_protocols(fine, t["req_proto"])
     protocols = stage(a.protocol_verdict(asked, t["protocol"], t["lot"], t["provider"]))
@@ -53,10 +50,10 @@ def analysis_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = as
     return {**frames, "error": a.error_rows(judged)}
 
 
-def payment_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = as_is) -> dict[str, DataFrame]:
+def payment_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = staged) -> dict[str, DataFrame]:
     """Payment statements of the requests routed to them."""
     known = a.contracted_provider(p.parse_period(req), t["provider"], t["address"])
-    judged = p.payment_verdict(known)
+    judged = stage(p.payment_verdict(known))
     fine = judged.filter(F.col("g_cabecalho").isNull() & F.col("g_corpo").isNull())
     dates = stage(
         p.payment_dates(fine, t["transfer"], t["invoice"], t["payable"], t["payable_item"], t["payment"],
@@ -75,7 +72,7 @@ def payment_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = as_
     return {**frames, "error": a.error_rows(judged).unionByName(frames["error"])}
 
 
-def statements(t: Tables, as_of: date, tenant: int = 1, stage: Stage = as_is,
+def statements(t: Tables, as_of: date, tenant: int = 1, stage: Stage = staged,
                fix_network_login: bool = False) -> dict[str, DataFrame]:
     """Every request ends in exactly one of: analysis, payment, error row.
 
