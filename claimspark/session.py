@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "claimspark") -> SparkSession:
@@ -52,7 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def staged(df):
-    """Materialise a frame used by several outputs, surviving executor loss."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def staged(df: DataFrame) -> DataFrame:
+    """Write a frame used by several outputs to the shared folder and read it back.
+
+    Survives executor loss, keeps later plans short, and gives them exact sizes and
+    column pruning.
+    """
+    path = f"{shared_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.session import staged
+from claimspark.session import shared_dir
 
 _POSITION_BITS = 33  # Spark packs (partition, row in partition) into one id like this
 
@@ -18,7 +18,8 @@ def assign_ids(df: DataFrame, order_cols: list[str], start: int = 1, id_col: str
     the partition bounds, so a lost executor must not be able to redraw them. Only
     one count per partition is summed up in a single place.
     """
-    fixed = staged(df.drop(id_col).repartitionByRange(*order_cols).sortWithinPartitions(*order_cols))
+    shared_dir(df.sparkSession)
+    fixed = df.drop(id_col).repartitionByRange(*order_cols).sortWithinPartitions(*order_cols).checkpoint()
     tagged = fixed.withColumn("_seq", F.monotonically_increasing_id()).withColumn(
         "_part", F.shiftright("_seq", _POSITION_BITS)
     )
