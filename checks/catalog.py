@@ -468,7 +468,13 @@ entry("a13_hour_text", "o_hours", "cd_conta_medica:i cd_lancamento:i hr_entrada:
 GENERAL = "vl_informado_geral:m vl_processado_geral:m vl_liberado_geral:m vl_glosa_geral:m"
 entry("a14_statement_totals", "o_stot", REQ + GENERAL)(lambda t: a.statement_totals(t.fine, t.totals))
 ERROR = REQ + "id:i cd_motivo_glosa:s ds_motivo_glosa:s"
-entry("a15_error_rows", "j_error_ana", ERROR)(lambda t: t.analysis("error"))
+entry("a15_error_rows", "j_error_ana", ERROR)(
+    lambda t: a.error_rows(
+        a.body_verdict(
+            a.contracted_provider(t.gated.filter(F.col("ds_destino") == "ANALISE"), t["provider"], t["address"])
+        )
+    )
+)
 HEADS = REQ + """id:i nr_registro_ans:i ds_operadora:s nr_cnpj_operadora:s dt_emissao:s cd_prestador:i ds_prestador:s
     nr_cnes_prestador:i """
 entry("a16_statement_rows", "j_stot", HEADS + GENERAL)(lambda t: t.analysis("statement"))
