@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import merkle, minhash, packing, pieces, quality, sharding, sql, tokenstore, warc
+from claimspark.llm import linededup, merkle, minhash, packing, pieces, pii, quality, sharding, sql, tokenstore, warc
 from claimspark.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.stored_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.repeated_lines(table(spark, sf_dir, "documents"), percent=80)
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.archived(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -45,16 +50,31 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("level")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_minhash, op2_sentencepiece, op3_token_store, op5_warc, op6_packing, op7_fingerprints, op8_sharding, op10_quality_rules)
+    for f in (
+        op1_minhash,
+        op2_sentencepiece,
+        op3_token_store,
+        op4_line_dedup,
+        op5_warc,
+        op6_packing,
+        op7_fingerprints,
+        op8_sharding,
+        op9_pii,
+        op10_quality_rules,
+    )
 }
 
-ORACLES = {"op1_minhash": sql.NEAR_DUPLICATES, "op10_quality_rules": sql.QUALITY}
+ORACLES = {"op1_minhash": sql.NEAR_DUPLICATES, "op4_line_dedup": sql.LINE_DEDUP, "op10_quality_rules": sql.QUALITY}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

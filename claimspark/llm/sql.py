@@ -24,6 +24,22 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.co
 FROM documents d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
 
+LINE_DEDUP = rf"""
+WITH l AS (
+  SELECT doc_id, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line,
+    unnest(string_split(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), chr(10))) AS s FROM documents),
+w AS (SELECT doc_id, line, list_sort(list_distinct(list_filter(regexp_split_to_array(s, '{_SPACE}'), lambda x: x <> ''))) AS w FROM l),
+f AS (SELECT w, len(w) AS n, min((doc_id, line)) AS first FROM w WHERE len(w) >= 5 GROUP BY 1),
+t AS (SELECT first, n, unnest(w) AS x FROM f),
+p AS (SELECT b.first, a.n AS m, b.n, count(*) AS i FROM t a JOIN t b ON a.x = b.x AND a.first < b.first AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.first, b.first, a.n, b.n),
+m AS (SELECT DISTINCT first FROM p WHERE 100 * i >= 80 * (m + n - i)),
+gone AS (
+  SELECT doc_id, line FROM w JOIN f USING (w) WHERE (doc_id, line) <> f.first OR f.first IN (SELECT first FROM m))
+SELECT d.doc_id, len(string_split(coalesce(text, ''), chr(10)))::INT AS n_lines, coalesce(g.n, 0)::INT AS n_removed, coalesce(g.removed, '') AS removed
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(line, ',' ORDER BY line) AS removed FROM gone GROUP BY 1) g USING (doc_id)
+"""
+
 #: Statistics of each text, one CTE each, for any table t (doc_id, text, lang).
 _STATS = rf"""
 w AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), lambda x: x <> '') AS w,
