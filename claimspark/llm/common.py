@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,7 +12,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.session import shared_dir, staged
+from claimspark.session import shared_dir
 
 #: Rows in an Arrow batch; texts may be long, so batches are kept short.
 BATCH_ROWS = 500
@@ -62,7 +61,9 @@ def folder(spark: SparkSession, name: str) -> str:
 
 def keep(df: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read back; cuts lineage and survives lost executors."""
-    return staged(df)
+    path = folder(df.sparkSession, "kept")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def texts(column: pa.Array) -> list[str]:
@@ -162,10 +163,6 @@ def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def log_factorials(n: int) -> list[float]:
-    return [math.lgamma(i + 1) for i in range(n + 1)]
-
-
 class Files:
     """Plain files in the shared folder, for formats that Spark's writers do not have."""
 
