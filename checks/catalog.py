@@ -235,7 +235,7 @@ def entry(name: str, step: str, spec: str):
 def _(t):
     ddl = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
            " o_orderpriority string")
-    rows = s.read_table(t.spark, t.sf_dir, "orders", ddl).filter(F.col("o_orderstatus") == "F")
+    rows = s.read_table(t.spark, t.sf_dir, "orders", ddl)
     return rows.select("o_orderkey", "o_custkey", "o_orderdate", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
 
 
@@ -265,10 +265,12 @@ def _(t):
 
 @entry("s5_consume_staging", "o_consumed", "ds_tabela:s cd_item_ress_sus_anexo:i")
 def _(t):
-    path = t.scratch("staging")
-    left = s.consume_staging(t["staging"], path)
+    staging, path = t.scratch("staging"), t.scratch("taken")
+    t["staging"].write.mode("overwrite").parquet(staging)
+    s.consume_staging(t.spark, staging, path)
     read = t.spark.read.parquet(path).withColumn("ds_tabela", F.lit("LIDO"))
-    return read.unionByName(left.withColumn("ds_tabela", F.lit("SOBRA")))
+    left = t.spark.read.parquet(staging).withColumn("ds_tabela", F.lit("SOBRA"))  # the stored table, read again
+    return read.unionByName(left)
 
 
 @entry("s6_import_items", "o_item", """cd_item_ressarciment_sus_anexo:i cd_ressarcimento_sus:i nr_atendimento:i cd_cco:i

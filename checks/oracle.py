@@ -139,7 +139,7 @@ from fx_item i""")
 
 # --- sources and sinks ------------------------------------------------------------
 
-step("o_scan", "select o_orderkey, o_custkey, o_orderdate, o_totalprice from orders where o_orderstatus = 'F'")
+step("o_scan", "select o_orderkey, o_custkey, o_orderdate, o_totalprice from orders")
 step("o_config", """
 select m.cd_matricula, m.cd_multi_empresa,
   coalesce((select min(c.valor) from fx_config c where c.chave = 'CONTMED_FOLHA_PGTO'

@@ -73,14 +73,16 @@ def payment_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = sta
 
 
 def statements(t: Tables, as_of: date, tenant: int = 1, stage: Stage = staged,
-               fix_network_login: bool = False) -> dict[str, DataFrame]:
+               fix_network_login: bool = False, first_log: int = 1) -> dict[str, DataFrame]:
     """Every request ends in exactly one of: analysis, payment, error row.
 
+    ``first_log``: number of the first log row, so that a later run goes on where the last one ended.
+
     Keys: ``reply``, ``analysis_*``, ``payment_*``, ``error``, ``log``.
     """
     req = stage(judged_requests(t, as_of, tenant, fix_network_login))
     failed = d.failed_requests(a.requests(t["message"], t["request"]))
-    numbered = assign_ids(failed, ["id"], 1, "cd_tiss_mensagem_log")
+    numbered = assign_ids(failed, ["id"], first_log, "cd_tiss_mensagem_log")
     analysis = analysis_statement(req.filter(F.col("ds_destino") == "ANALISE"), t, as_of, stage)
     payment = payment_statement(req.filter(F.col("ds_destino") == "PAGAMENTO"), t, as_of, stage)
     other = req.filter(F.col("ds_destino") == "ERRO").select(

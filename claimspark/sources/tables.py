@@ -65,22 +65,25 @@ def append(df: DataFrame, path: str, batch: str) -> None:
 def update_by_key(target: DataFrame, changes: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """``target`` with ``cols`` replaced where ``changes`` has the key.
 
-    ``changes`` must hold one row per key. A NULL in it keeps the old value.
+    ``changes`` must hold one row per key. A NULL in it is written as NULL.
     """
-    renamed = changes.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols])
+    renamed = changes.select(*keys, F.lit(True).alias("_matched"), *[F.col(c).alias(f"_new_{c}") for c in cols])
     merged = target.join(renamed, keys, "left")
     return merged.select(
-        *[F.coalesce(f"_new_{c}", c).alias(c) if c in cols else F.col(c) for c in target.columns]
+        *[F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in target.columns]
     )
 
 
-def consume_staging(df: DataFrame, path: str) -> DataFrame:
-    """Take the staged rows over into ``path`` once and leave an empty staging frame.
+def consume_staging(spark: SparkSession, staging: str, path: str) -> DataFrame:
+    """Take the rows stored under ``staging`` over into ``path``, then leave the staging table empty.
 
-    The returned frame is what a later read of the staging table must see.
+    Staging is emptied only after the rows are written, so a job that stops between the two takes
+    the same rows again. Returns what a read of the staging table gives afterwards.
     """
-    df.write.mode("overwrite").parquet(path)
-    return df.filter(F.lit(False))
+    rows = spark.read.parquet(staging)
+    rows.write.mode("overwrite").parquet(path)
+    spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(staging)
+    return spark.read.schema(rows.schema).parquet(staging)
 
 
 def import_items(spark: SparkSession, path: str, notice_id: int | None = None, sep: str = ";") -> DataFrame:

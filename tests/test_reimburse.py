@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from claimspark.functions import split_cco
 from claimspark.operators import reimburse as r
 from claimspark.plans.reimbursement import generate_reimbursements, write_reimbursements
-from claimspark.sources.tables import append
+from claimspark.sources.tables import append, consume_staging
 from tests.conftest import values
 
 AS_OF = date(2024, 1, 31)
@@ -103,6 +103,19 @@ def test_confirm_takes_duplicate_ids(world, table):
     assert got.count() == 6 and got.filter("sn_confirmar = 'S'").count() == 6
 
 
+def test_confirm_with_null_clears_the_flag(world, table):
+    items = world["items"].withColumn("sn_confirmar", F.lit("S"))
+    got = r.confirm_items(items, table("staging", dict(cd_item_ress_sus_anexo=3)), None)
+    assert got.filter("sn_confirmar is null").count() == 1 and got.filter("sn_confirmar = 'S'").count() == 5
+
+
+def test_consumed_staging_is_empty_when_read_again(spark, table, tmp_path):
+    staging, taken = str(tmp_path / "staging"), str(tmp_path / "taken")
+    table("staging", dict(cd_item_ress_sus_anexo=3)).write.parquet(staging)
+    consume_staging(spark, staging, taken)
+    assert spark.read.parquet(staging).count() == 0 and spark.read.parquet(taken).count() == 1
+
+
 def test_append_keeps_other_batches(spark, tmp_path):
     path = str(tmp_path / "t")
     for batch in ("a", "b", "a"):
