@@ -383,7 +383,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, passes: int = PASSES) -> Tagger
     tagger stays as drawn and finds nothing.
     """
     held = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= 20_000))
-    rows = held.select("text", F.xxhash64("doc_id").alias("h")).orderBy("h", "text").limit(sample).collect()
+    held = held.select("text", F.xxhash64("doc_id", "text").alias("h"))
+    # the hashes first: a task sends numbers, and texts only below the cut
+    cut = held.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    rows = held.where(F.col("h") <= F.lit(cut).cast("long")).orderBy("h").limit(sample).collect()
     model = Tagger()
     x, y = training_windows([r["text"] for r in rows])
     if len(x):
