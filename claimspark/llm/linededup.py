@@ -1,11 +1,15 @@
 """Line dedup by an exact set-similarity join.
 
-Lines with the same token set are one class. Classes meet in the tokens of their prefix:
-tokens are ordered by rarity, and two sets of similarity t share a token among the first
-n - ceil(t * n) + 1. Length and position rule pairs out, Jaccard on the full sets decides. Each
-token's list is joined to its earliest classes first (a star), so that pairs do not grow with
-the square of a list; classes without an earlier match go on to further centres until
-all earlier ones were tried.
+Lines with the same token set are one class, named by its first place (doc_id, row, line).
+Classes meet in the tokens of their prefix: tokens are ordered by rarity, and two sets of
+similarity t share a token among the first n - ceil(t * n) + 1. Length and position rule pairs
+out, and so does the distance of two parity sketches, which is never above the symmetric difference.
+Jaccard on the full sets of what is left decides.
+
+Short lists of a token are compared whole in one pass: each class with the NEAR classes before it.
+Long lists are joined to their earliest classes (a star), so that pairs do not grow with the square
+of a list; classes without an earlier match go on to further centres until all earlier ones were
+tried. A frequent token's list is dealt over several tasks.
 """
 
 from __future__ import annotations
@@ -17,23 +21,43 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.llm.common import by_batches, digest, keep, lists, slices, words_of
+from claimspark.llm.common import PLACE, by_batches, keep, lists, mix, slices, words_of
 
 #: Lines with fewer distinct tokens stay as they are: a few words alone say too little.
 LEAST = 5
 #: Fixed number of counters for token frequencies; any order of tokens is exact, a good one is fast.
-COUNTERS = 1 << 14
+COUNTERS = 1 << 20
+#: Classes of a list that each class is compared with in the first pass.
+NEAR = 16
+#: Words of a token for which its list gets one more task.
+SHARE = 1 << 14
 GROWTH = 16
 
 
-def _split(column: pa.Array) -> tuple[list[int], list[np.ndarray]]:
-    """Lines per text, and the sorted distinct token hashes of each line."""
-    raw = column.fill_null("").cast(pa.binary()).to_pylist()
-    parts = [t.split(b"\n") for t in raw]
-    flat = [line for p in parts for line in p]
-    hashes, counts = words_of(pa.array(flat, pa.binary()).cast(pa.string()))
-    stops = np.cumsum(counts)
-    return [len(p) for p in parts], [np.unique(hashes[b - n : b]) for b, n in zip(stops, counts)]
+class Lines:
+    """The lines of some texts: lines per text, and the sorted distinct token hashes of each line."""
+
+    def __init__(self, column: pa.Array):
+        parts = [t.split(b"\n") for t in column.fill_null("").cast(pa.binary()).to_pylist()]
+        self.counts = np.array([len(p) for p in parts], np.int64)
+        flat = pa.array([line for p in parts for line in p], pa.binary()).cast(pa.string())
+        hashes, words = words_of(flat)
+        of = np.repeat(np.arange(len(flat)), words)
+        order = np.lexsort((hashes, of))
+        hashes, of = hashes[order], of[order]
+        new = np.ones(len(of), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+        self.tokens, self.of = hashes[new], of[new]
+        self.sizes = np.bincount(self.of, minlength=len(flat))
+        self.ends = np.cumsum(self.sizes)
+
+    def folded(self, values: np.ndarray, fold: np.ufunc) -> np.ndarray:
+        """One number per line of the values of its tokens; 0 for a line without tokens."""
+        out = np.zeros(len(self.sizes), np.uint64)
+        held = np.flatnonzero(self.sizes)
+        if len(held):
+            out[held] = fold.reduceat(values, (self.ends - self.sizes)[held])
+        return out.view(np.int64)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,62 +65,84 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             hashes, _ = words_of(part.column("text"))
-            total += np.bincount((hashes & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+            np.add.at(total, (hashes & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
     held = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["counter", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], ["counter", "n"])
 
 
 def frequencies(docs: DataFrame) -> np.ndarray:
     """Words per counter over all texts; COUNTERS numbers come to the driver, whatever the input."""
     out = np.zeros(COUNTERS, np.int64)
-    counted = by_batches(docs.select("text"), _counted, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    for row in counted.collect():
-        out[row["counter"]] = row["n"]
-    return out
+    counted = by_batches(docs.select("text"), _counted, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    table = counted.toArrow()
+    out[table["counter"].to_numpy()] = table["n"].to_numpy()
+    return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
 
 
-def required(n: int, percent: int) -> int:
-    """Least overlap with any similar set: ceil(percent * n / 100)."""
-    return -(-percent * n // 100)
+#: ``a`` and ``b`` name the token set; ``prefix`` has 32 bits of each token, ``parts`` the tasks its list is dealt over.
+LINED = "doc_id long, row long, n_lines int, lines array<struct<line: int, a: long, b: long, n: int, sketch: long, prefix: array<int>, parts: array<int>>>"
 
 
 def _lined(often: np.ndarray, percent: int):
-    kind = pa.list_(pa.struct([("line", pa.int32()), ("node", pa.binary()), ("n", pa.int32()), ("prefix", pa.list_(pa.int32()))]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                count, sets = _split(part.column("text"))
-                at, found = 0, []
-                for n in count:
-                    own = []
-                    for line, tokens in enumerate(sets[at : at + n]):
-                        if len(tokens) < LEAST:
-                            continue
-                        rare = often[(tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                        first = np.lexsort((tokens, rare))[: len(tokens) - required(len(tokens), percent) + 1]
-                        prefix = (tokens[first] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                        own.append({"line": line, "node": digest(tokens), "n": len(tokens), "prefix": prefix.tolist()})
-                    found.append(own)
-                    at += n
-                columns = [part.column("doc_id").cast(pa.int64()), part.column("row"), pa.array(count, pa.int32()), pa.array(found, kind)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_lines", "lines"])
+                x = Lines(part.column("text"))
+                a, b = (x.folded(mix(x.tokens * PLACE[i] + PLACE[i + 2]), np.add) for i in (0, 1))
+                bit = np.uint64(1) << (mix(x.tokens * PLACE[4]) & np.uint64(63))
+                sketch = x.folded(bit, np.bitwise_xor)
+                # the rarest first, and of these the prefix of each line that is long enough
+                rare = often[(x.tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                order = np.lexsort((x.tokens, rare, x.of))
+                wanted = np.where(x.sizes >= LEAST, x.sizes - -(-percent * x.sizes // 100) + 1, 0)
+                at = np.arange(len(order)) - (x.ends - x.sizes)[x.of]
+                first = order[at < wanted[x.of]]
+                prefix = (x.tokens[first] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                dealt = (rare[first] // SHARE + 1).astype(np.int32)
+                stops = np.concatenate(([0], np.cumsum(wanted))).astype(np.int32)
+
+                text = np.repeat(np.arange(len(x.counts)), x.counts)
+                number = np.arange(len(text)) - np.repeat(np.cumsum(x.counts) - x.counts, x.counts)
+                use = np.flatnonzero(x.sizes >= LEAST)
+                held = pa.StructArray.from_arrays(
+                    [
+                        pa.array(number[use].astype(np.int32)),
+                        pa.array(a[use]),
+                        pa.array(b[use]),
+                        pa.array(x.sizes[use].astype(np.int32)),
+                        pa.array(sketch[use]),
+                        *(pa.ListArray.from_arrays(pa.array(np.append(stops[use], stops[-1])), pa.array(v)) for v in (prefix, dealt)),
+                    ],
+                    ["line", "a", "b", "n", "sketch", "prefix", "parts"],
+                )
+                per_text = np.concatenate(([0], np.cumsum(np.bincount(text[use], minlength=len(x.counts))))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").cast(pa.int64()),
+                        part.column("row"),
+                        pa.array(x.counts.astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(per_text), held),
+                    ],
+                    ["doc_id", "row", "n_lines", "lines"],
+                )
 
     return run
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, tokens) of the wanted lines of each text."""
+    """(doc_id, row, line, tokens) of the wanted lines of each text."""
     for batch in batches:
         for part in slices(batch):
-            count, sets = _split(part.column("text"))
-            at, nodes, held = 0, [], []
-            for n, wanted in zip(count, part.column("wanted").to_pylist()):
-                for line in wanted:
-                    nodes.append(digest(sets[at + line]))
-                    held.append(sets[at + line].view(np.int64))
-                at += n
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), lists(held, pa.int64())], ["node", "tokens"])
+            x = Lines(part.column("text"))
+            wanted = part.column("wanted")
+            of = np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy())
+            line = wanted.flatten().to_numpy()
+            at = (np.cumsum(x.counts) - x.counts)[of] + line
+            held = [x.tokens[x.ends[i] - x.sizes[i] : x.ends[i]].view(np.int64) for i in at]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").take(pa.array(of)), part.column("row").take(pa.array(of)), pa.array(line), lists(held, pa.int64())],
+                ["doc_id", "row", "line", "tokens"],
+            )
 
 
 def _row(text: str = "text") -> Column:
@@ -104,71 +150,82 @@ def _row(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of (u, v), those whose sets have 100 * overlap >= percent * union."""
-    one = sets.select(F.col("node").alias("u"), F.col("tokens").alias("su"))
-    other = sets.select(F.col("node").alias("v"), F.col("tokens").alias("sv"))
-    both = pairs.join(one, "u").join(other, "v").withColumn("i", F.size(F.array_intersect("su", "sv")).cast("long"))
+def _possible(u: Column, v: Column, percent: int) -> Column:
+    """Whether two members (n, pos, sketch) of a token's list may be similar, by length, position and sketch.
+
+    The bound by position holds at the first token that two similar sets share; both are in its list.
+    """
+    both, alike = u["n"] + v["n"], F.least(u["n"], v["n"]) * 100 >= F.greatest(u["n"], v["n"]) * percent
+    rest = 1 + F.least(u["n"] - u["pos"] - 1, v["n"] - v["pos"] - 1)
+    apart = F.bit_count(u["sketch"].bitwiseXOR(v["sketch"]))
+    return alike & (rest * (100 + percent) >= both * percent) & (apart * (100 + percent) <= both * (100 - percent))
+
+
+def _later(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
+    """Of (u, v), u the earlier, the v whose sets have 100 * overlap >= percent * union."""
+    pairs = keep(pairs.distinct())
+    ends = pairs.select(F.col("u").alias("p")).unionAll(pairs.select(F.col("v").alias("p"))).distinct().select("p.*")
+    wanted = ends.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_set("line").alias("wanted"))
+    found = source.join(keep(wanted), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+    sets = by_batches(found.select("doc_id", "row", "text", "wanted"), _tokens, "doc_id long, row long, line int, tokens array<long>")
+    # repeated rows need to be read once
+    sets = keep(sets.dropDuplicates(["doc_id", "row", "line"]).select(F.struct("doc_id", "row", "line").alias("p"), "tokens"))
+    both = pairs.join(sets.select(F.col("p").alias("u"), F.col("tokens").alias("su")), "u")
+    both = both.join(sets.select(F.col("p").alias("v"), F.col("tokens").alias("sv")), "v")
+    both = both.withColumn("i", F.size(F.array_intersect("su", "sv")).cast("long"))
     union = F.size("su").cast("long") + F.size("sv") - F.col("i")
-    return both.where(F.col("i") * 100 >= union * percent).select("u", "v")
+    return keep(both.where(F.col("i") * 100 >= union * percent).select(F.col("v").alias("first")).distinct())
 
 
 def line_matches(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """(per document lines, classes with a copy or an earlier match).
 
-    The first: doc_id, row, n_lines, lines (line, node). The second: node, first (its first
+    The first: doc_id, row, n_lines, lines (line, a, b). The second: a, b, first (its first
     line: doc_id, row, line), matched (an earlier line of another class is similar).
     """
     source = docs.select(F.col("doc_id").cast("long"), "text", _row().alias("row"))
-    often = frequencies(source)
-    schema = "doc_id long, row long, n_lines int, lines array<struct<line: int, node: binary, n: int, prefix: array<int>>>"
-    lined = keep(by_batches(source, _lined(often, percent), schema))
+    lined = keep(by_batches(source, _lined(frequencies(source), percent), LINED))
 
     each = lined.select("doc_id", "row", F.explode("lines").alias("l"))
     place = F.struct("doc_id", "row", F.col("l.line").alias("line"))
-    # the prefix of a class is the same wherever it comes from
-    classes = each.groupBy("l.node").agg(F.min(F.struct(place.alias("first"), F.col("l.n").alias("n"), F.col("l.prefix").alias("prefix"))).alias("c"), F.count("*").alias("copies"))
-    classes = keep(classes.select("node", "c.*", "copies"))
-
-    lists_ = classes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = lists_.withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1")
-    # two tokens of one set may share a short hash: the first counts
-    shared = shared.groupBy("token", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    busy = keep(shared.join(classes.select("node", "first"), "node"))
-
-    wanted = busy.select("first").distinct().select("first.*").groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.sort_array(F.collect_set("line")).alias("wanted"))
-    # repeated rows need to be read once
-    found = source.join(keep(wanted), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
-    sets = keep(by_batches(found.select("text", "wanted"), _tokens, "node binary, tokens array<long>").dropDuplicates(["node"]))
-
-    matched, low, high = None, 0, 1
+    # size, sketch and prefix of a class are the same wherever they come from
+    same = F.struct(F.col("l.n").alias("n"), F.col("l.sketch").alias("sketch"), F.arrays_zip("l.prefix", "l.parts").alias("prefix"))
+    classes = each.groupBy("l.a", "l.b").agg(F.min(place).alias("first"), F.first(same).alias("c"), F.count("*").alias("copies"))
+    classes = keep(classes.select("a", "b", "first", "c.*", "copies"))
+
+    members = classes.select("first", "n", "sketch", F.posexplode("prefix").alias("pos", "t"))
+    deal = F.pmod(F.xxhash64("first"), F.col("t.parts")).cast("int")
+    members = members.select(F.col("t.prefix").alias("token"), F.col("t.parts").alias("parts"), deal.alias("deal"), "first", F.struct("n", "pos", "sketch").alias("x"))
+    list_ = Window.partitionBy("token", "deal")
+    ordered = list_.orderBy("first")
+    members = members.withColumn("m", F.count("*").over(list_)).where("m > 1 or parts > 1")
+    members = members.withColumn("rank", F.row_number().over(ordered))
+    members = members.withColumn("before", F.collect_list(F.struct("first", "x")).over(ordered.rowsBetween(-NEAR, -1)))
+    fits = F.filter("before", lambda u: _possible(u["x"], F.col("x"), percent))
+    members = members.select("token", "first", "x", "rank", ((F.col("m") > NEAR + 1) | (F.col("parts") > 1)).alias("long"), F.transform(fits, lambda u: u["first"]).alias("near"))
+    members = keep(members.where(F.col("long") | (F.size("near") > 0)))
+
+    matched = _later(members.select(F.explode("near").alias("u"), F.col("first").alias("v")), source, percent)
+    busy = members.where("long").select("token", "first", "x", "rank")
+    low, high = 0, 1
     while True:
-        open_ = busy if matched is None else busy.join(matched, "node", "left_anti")
+        open_ = keep(busy.join(matched, "first", "left_anti"))
         # lists with a class that has no match and stands behind a centre not yet tried
-        rank = F.row_number().over(Window.partitionBy("token").orderBy("first"))
-        last = open_.groupBy("token").agg(F.max("first").alias("last"))
-        ranked = busy.join(keep(last), "token").where(F.col("first") <= F.col("last")).withColumn("rank", rank)
-        ranked = keep(ranked.select("token", "node", "n", "pos", "rank"))
-        centres = ranked.where((F.col("rank") > low) & (F.col("rank") <= high))
-        centres = keep(centres.select("token", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("pos").alias("pu"), F.col("rank").alias("at")))
+        last = keep(open_.groupBy("token").agg(F.max("first").alias("last")))
+        centres = busy.where((F.col("rank") > low) & (F.col("rank") <= high)).join(last, "token").where(F.col("first") < F.col("last"))
+        centres = keep(centres.select("token", F.col("first").alias("u"), F.col("x").alias("xu")))
         if centres.isEmpty():
             break
-        members = ranked if matched is None else ranked.join(matched, "node", "left_anti")
-        members = members.select("token", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("pos").alias("pv"), "rank")
-        pairs = members.join(centres, "token").where("rank > at")
-        pairs = pairs.where(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
-        # the first shared token bounds what the rest can add
-        pairs = pairs.groupBy("u", "v").agg(F.min("pu").alias("pu"), F.min("pv").alias("pv"), F.min("nu").alias("nu"), F.min("nv").alias("nv"))
-        most = 1 + F.least(F.col("nu") - F.col("pu") - 1, F.col("nv") - F.col("pv") - 1)
-        pairs = pairs.where(most * (100 + percent) >= (F.col("nu") + F.col("nv")) * percent).select("u", "v")
-        new = _similar(pairs, sets, percent).select(F.col("v").alias("node")).distinct()
-        matched = keep(new if matched is None else new.unionAll(matched))
+        one, other = open_.alias("v"), centres.alias("u")
+        meet = (F.col("v.token") == F.col("u.token")) & (F.col("u.u") < F.col("v.first")) & _possible(F.col("u.xu"), F.col("v.x"), percent)
+        pairs = one.join(other, meet).select("u.u", F.col("v.first").alias("v"))
+        matched = keep(matched.unionAll(_later(pairs, source, percent)))
         low, high = high, high * GROWTH
 
-    out = classes if matched is None else classes.join(matched.withColumn("matched", F.lit(True)), "node", "left")
-    out = out.withColumn("matched", F.lit(False)) if matched is None else out
-    out = out.select("node", "first", F.coalesce("matched", F.lit(False)).alias("matched"), "copies").where("matched or copies > 1")
-    return lined.select("doc_id", "row", "n_lines", F.transform("lines", lambda x: F.struct(x["line"], x["node"])).alias("lines")), keep(out)
+    out = classes.join(matched.distinct().withColumn("matched", F.lit(True)), "first", "left")
+    out = out.select("a", "b", "first", F.coalesce("matched", F.lit(False)).alias("matched"), "copies").where("matched or copies > 1")
+    names = F.transform("lines", lambda x: F.struct(x["line"], x["a"], x["b"]))
+    return lined.select("doc_id", "row", "n_lines", names.alias("lines")), keep(out)
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -182,9 +239,9 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     no rows.
     """
     lined, classes = line_matches(docs, percent)
-    each = lined.select("doc_id", "row", F.explode("lines").alias("l")).select("doc_id", "row", "l.line", "l.node")
+    each = lined.select("doc_id", "row", F.explode("lines").alias("l")).select("doc_id", "row", "l.line", "l.a", "l.b")
     place = F.struct("doc_id", "row", "line")
-    gone = each.join(classes, "node").where(F.col("matched") | (place != F.col("first")))
+    gone = each.join(classes, ["a", "b"]).where(F.col("matched") | (place != F.col("first")))
     # null ids: the struct comparison above is null-safe, the join below is made so
     gone = gone.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("line")).alias("removed")).withColumnRenamed("doc_id", "d").withColumnRenamed("row", "r")
     gone = keep(gone)
