@@ -28,10 +28,11 @@ LEAST = 5
 #: Fixed number of counters for token frequencies; any order of tokens is exact, a good one is fast.
 COUNTERS = 1 << 20
 #: Classes of a list that each class is compared with in the first pass.
-NEAR = 16
+NEAR = 64
 #: Words of a token for which its list gets one more task.
 SHARE = 1 << 14
-GROWTH = 16
+#: Centres of a long list in the first round, and the factor for each further round.
+CENTRES, GROWTH = 256, 16
 
 
 class Lines:
@@ -207,9 +208,12 @@ def line_matches(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFra
 
     matched = _later(members.select(F.explode("near").alias("u"), F.col("first").alias("v")), source, percent)
     busy = members.where("long").select("token", "first", "x", "rank")
-    low, high = 0, 1
+    low, high = 0, CENTRES
     while True:
-        open_ = keep(busy.join(matched, "first", "left_anti"))
+        open_ = busy.join(matched, "first", "left_anti")
+        if low:  # only lists with centres left
+            more = keep(busy.where(F.col("rank") > low).select("token").distinct())
+            open_ = open_.join(more, "token", "left_semi")
         # lists with a class that has no match and stands behind a centre not yet tried
         last = keep(open_.groupBy("token").agg(F.max("first").alias("last")))
         centres = busy.where((F.col("rank") > low) & (F.col("rank") <= high)).join(last, "token").where(F.col("first") < F.col("last"))

@@ -292,6 +292,25 @@ def test_line_dedup(docs, empty):
     assert all(r["n_chars"] == len(r["text"]) for r in out.where("text is not null").collect())
 
 
+def test_line_dedup_of_long_lists(spark, monkeypatch):
+    """Lists longer than one pass, dealt over tasks, with chains of near lines: equal to all pairs by hand."""
+    monkeypatch.setattr(linededup, "NEAR", 2)
+    monkeypatch.setattr(linededup, "SHARE", 16)
+    monkeypatch.setattr(linededup, "CENTRES", 2)
+    lines = []
+    for i in range(60):  # neighbours share 9 of 11 words, others fewer
+        lines.append(" ".join(f"w{j}" for j in range(i // 2, i // 2 + 10)) + (" same" if i % 3 else ""))
+    rows = [(i // 4, "\n".join(lines[i : i + 4])) for i in range(0, 60, 4)]
+    got = linededup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    places = [(d, k, set(x.split())) for d, text in rows for k, x in enumerate(text.split("\n"))]
+    want = {d: [] for d, _ in rows}
+    for i, (d, k, words_) in enumerate(places):
+        if any(100 * len(words_ & w) >= 80 * len(words_ | w) for _, _, w in places[:i]):
+            want[d].append(k)
+    assert {r["doc_id"]: r["removed"] for r in got.collect()} == want
+    assert sum(map(len, want.values())) > 10
+
+
 def test_personal_data(docs, empty):
     text = "mail a.b@x.org or +1 (212) 555-0100\n10.1.2.300 x 4111 1111 1111 1111"
     assert [pii.KINDS[k] for k, _, _ in pii.base_spans(text)] == ["email", "card", "phone"]
