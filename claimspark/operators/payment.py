@@ -340,11 +340,11 @@ def payable_credits(items: DataFrame, transfers: DataFrame, protocols: DataFrame
     of_invoice = protocols.select("cd_fatura", "cd_protocolo_ctamed").join(
         invoices.select("cd_fatura").distinct(), "cd_fatura", "left_semi"
     )
-    # distinct first: a lot with very many claims leaves each task as one row
-    used_lots = claims.select("cd_lote").distinct()
+    asked_lots = of_invoice.join(lots.select("cd_lote", "cd_protocolo_ctamed"), "cd_protocolo_ctamed")
+    # claims of the asked lots only; distinct then lets a lot with very many claims leave each task as one row
+    used_lots = claims.select("cd_lote").join(asked_lots.select("cd_lote"), "cd_lote", "left_semi").distinct()
     claimed = (
-        of_invoice.join(lots.select("cd_lote", "cd_protocolo_ctamed"), "cd_protocolo_ctamed")
-        .join(used_lots, "cd_lote", "left_semi")
+        asked_lots.join(used_lots, "cd_lote", "left_semi")
         .select("cd_fatura")
         .distinct()
     )
