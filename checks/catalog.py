@@ -507,7 +507,7 @@ ITEM = DATE + "cd_itcon_pag:i folha:s "
 entry("p3_payment_items", "o_items", ITEM + "cd_con_pag:i cd_prestador:i")(lambda t: t.items)
 entry("p4_payment_form", "o_form", "cd_itcon_pag:i tp_forma_pagamento:s")(lambda t: p.payment_form(t["payment"]))
 entry("p5_payment_bank", "o_bank", "cd_itcon_pag:i cd_banco:i")(
-    lambda t: p.payment_bank(t["payment"], t.of_supplier, t["supplier"])
+    lambda t: p.payment_bank(t["payment"], t.of_supplier, t["bank"])
 )
 entry("p6_payment_agency", "o_agency", "cd_itcon_pag:i cd_agencia:s")(
     lambda t: p.payment_agency(t["payment"], t.of_supplier)

@@ -77,6 +77,8 @@ SQL: dict[str, str] = {
         end as sn_ativo, case when s_suppkey%3=0 then null else s_nationkey end as cd_banco, case when
         s_suppkey%3=0 then null else cast(s_suppkey%50 as varchar(20)) end as cd_agencia, case when
         s_suppkey%3=0 then null else cast(s_suppkey*11 as varchar(20)) end as nr_conta from supplier""",
+    "fx_bank": """
+        select n_nationkey as cd_banco from nation where n_nationkey%5<>0""",
     "fx_provider": """
         select s_suppkey as cd_prestador, 10000000000+s_suppkey*97 as nr_cpf_cgc, cast(s_suppkey+5000 as
         varchar(20)) as cd_interno, case when s_suppkey%20=7 then cast(300000+s_suppkey as varchar(20)) end

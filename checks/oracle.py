@@ -658,7 +658,8 @@ select cd_itcon_pag, case when count(*) = 1 then max(v) end as {_sup}
 from (select distinct 1 as src, cd_itcon_pag, {_pay} as v from fx_payment where {_pay} is not null
   union all
   select distinct 2, i.cd_itcon_pag, s.{_sup} from fx_payable_item i join fx_payable p on p.cd_con_pag = i.cd_con_pag
-  join fx_supplier s on s.cd_fornecedor = p.cd_fornecedor where s.{_sup} is not null)
+  join fx_supplier s on s.cd_fornecedor = p.cd_fornecedor where s.{_sup} is not null
+  {"and s.cd_banco in (select cd_banco from fx_bank)" if _name == "bank" else ""})
 group by cd_itcon_pag""")
 step("o_cheque", """
 select i.cd_itcon_pag, a.nr_conta, case when k.n > 1 then null when k.n = 1 then k.c else a.nr_conta end as nr_conta_cheque

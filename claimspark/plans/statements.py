@@ -67,7 +67,7 @@ def payment_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = sta
         p.transfer_summary(p.transfers_of(items, t["transfer"]), t["claim"], t["lot"], t["protocol"], t["batch_guide"])
     )
     credits = stage(p.payable_credits(items, t["transfer"], t["protocol"], t["lot"], t["claim"], t["creddeb"]))
-    details = p.payment_details(t["payment"], t["payable_item"], t["payable"], t["supplier"], t["supplier"])
+    details = p.payment_details(t["payment"], t["payable_item"], t["payable"], t["supplier"], t["bank"])
     frames = p.payment_rows(fine, dates, items, t["transfer"], summary, credits, details, as_of)
     return {**frames, "error": a.error_rows(judged).unionByName(frames["error"])}
 

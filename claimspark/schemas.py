@@ -41,6 +41,7 @@ INPUTS: dict[str, str] = {
     "doctype": "cd_tip_doc bigint, ds_tip_doc string, sn_ativo string",
     "supplier": """cd_fornecedor bigint, nm_fornecedor string, sn_ativo string, cd_banco bigint,
         cd_agencia string, nr_conta string""",
+    "bank": "cd_banco bigint",
     "provider": """cd_prestador bigint, nr_cpf_cgc bigint, cd_interno string, cd_registro_ans_intermed string,
         nm_prestador string, tp_situacao string, tp_credenciamento string, cd_prestador_guia_web bigint,
         cd_multi_empresa bigint""",

@@ -130,6 +130,16 @@ def test_one_value_over_all_sources(spark):
     assert values(p.single_or_null([one, two], "k", "v"), "k", "v") == [(1, "A"), (2, None), (3, "A"), (4, None), (6, "C")]
 
 
+def test_supplier_bank_must_be_listed(table):
+    items = table("payable_item", *[dict(cd_itcon_pag=i, cd_con_pag=i) for i in (1, 2, 3)])
+    payables = table("payable", *[dict(cd_con_pag=i, cd_fornecedor=i) for i in (1, 2, 3)])
+    suppliers = table("supplier", *[dict(cd_fornecedor=i, cd_banco=b) for i, b in ((1, 10), (2, 20), (3, 20))])
+    pays = table("payment", dict(cd_pagcon_pag=1, cd_itcon_pag=1, cd_banco_forn=30), dict(cd_pagcon_pag=2, cd_itcon_pag=3, cd_banco_forn=30))
+    got = p.payment_bank(pays, p.supplier_of_item(items, payables, suppliers), table("bank", dict(cd_banco=10)))
+    # a bank from either side is NULL; supplier banks that are not listed do not count
+    assert values(got, "cd_itcon_pag", "cd_banco") == [(1, None), (3, 30)]
+
+
 def test_cheque_replaces_account(table, spark):
     pays = table("payment", dict(cd_pagcon_pag=1, cd_itcon_pag=1, cd_cheque="c"), dict(cd_pagcon_pag=2, cd_itcon_pag=2, cd_cheque="c"),
                  dict(cd_pagcon_pag=3, cd_itcon_pag=2, cd_cheque="d"), dict(cd_pagcon_pag=4, cd_itcon_pag=3))
