@@ -89,6 +89,16 @@ def test_near_duplicates(docs, empty):
     assert ids.count(0) == 1 and 1 not in ids and ids.count(None) == 2
 
 
+def test_links_of_short_texts_are_not_lost(spark):
+    """Texts of 8 and 7 words share 4 of 5 shingles: every pair is linked, however alike its sketches."""
+    rows = []
+    for i in range(0, 6000, 2):
+        w = [f"w{i}x{j}" for j in range(8)]
+        rows += [(i, " ".join(w)), (i + 1, " ".join(w[:7]))]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_densification_fills_every_bin():
     one = [np.array([5], np.uint64), np.arange(1, 2000, dtype=np.uint64) << np.uint64(50)]
     low = minhash.signatures(one)
