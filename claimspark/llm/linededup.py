@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from claimspark.llm.common import PLACE, by_batches, keep, lists, mix, slices, words_of
 
-#: Lines with fewer distinct tokens stay as they are: a few words alone say too little.
-LEAST = 5
+#: Lines with fewer distinct tokens stay as they are: only blank ones, unless the caller asks for more.
+LEAST = 1
 #: Fixed number of counters for token frequencies; any order of tokens is exact, a good one is fast.
 COUNTERS = 1 << 20
 #: Classes of a list that each class is compared with in the first pass.
@@ -84,7 +84,7 @@ def frequencies(docs: DataFrame) -> np.ndarray:
 LINED = "doc_id long, row long, n_lines int, lines array<struct<line: int, a: long, b: long, n: int, sketch: long, prefix: array<int>, parts: array<int>>>"
 
 
-def _lined(often: np.ndarray, percent: int):
+def _lined(often: np.ndarray, percent: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -95,7 +95,9 @@ def _lined(often: np.ndarray, percent: int):
                 # the rarest first, and of these the prefix of each line that is long enough
                 rare = often[(x.tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 order = np.lexsort((x.tokens, rare, x.of))
-                wanted = np.where(x.sizes >= LEAST, x.sizes - -(-percent * x.sizes // 100) + 1, 0)
+                # sets so small that one more token is too many are similar to equal sets alone: no prefix
+                joined = (x.sizes >= least) & (100 * x.sizes >= percent * (x.sizes + 1))
+                wanted = np.where(joined, x.sizes - -(-percent * x.sizes // 100) + 1, 0)
                 at = np.arange(len(order)) - (x.ends - x.sizes)[x.of]
                 first = order[at < wanted[x.of]]
                 prefix = (x.tokens[first] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
@@ -104,7 +106,7 @@ def _lined(often: np.ndarray, percent: int):
 
                 text = np.repeat(np.arange(len(x.counts)), x.counts)
                 number = np.arange(len(text)) - np.repeat(np.cumsum(x.counts) - x.counts, x.counts)
-                use = np.flatnonzero(x.sizes >= LEAST)
+                use = np.flatnonzero(x.sizes >= max(least, 1))
                 held = pa.StructArray.from_arrays(
                     [
                         pa.array(number[use].astype(np.int32)),
@@ -178,14 +180,14 @@ def _later(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     return keep(both.where(F.col("i") * 100 >= union * percent).select(F.col("v").alias("first")).distinct())
 
 
-def line_matches(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+def line_matches(docs: DataFrame, percent: int = 80, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(per document lines, classes with a copy or an earlier match).
 
     The first: doc_id, row, n_lines, lines (line, a, b). The second: a, b, first (its first
     line: doc_id, row, line), matched (an earlier line of another class is similar).
     """
     source = docs.select(F.col("doc_id").cast("long"), "text", _row().alias("row"))
-    lined = keep(by_batches(source, _lined(frequencies(source), percent), LINED))
+    lined = keep(by_batches(source, _lined(frequencies(source), percent, least), LINED))
 
     each = lined.select("doc_id", "row", F.explode("lines").alias("l"))
     place = F.struct("doc_id", "row", F.col("l.line").alias("line"))
@@ -232,17 +234,17 @@ def line_matches(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFra
     return lined.select("doc_id", "row", "n_lines", names.alias("lines")), keep(out)
 
 
-def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
+def repeated_lines(docs: DataFrame, percent: int = 80, least: int = LEAST) -> DataFrame:
     """(doc_id, row, n_lines, n_removed, removed) for each row of docs (doc_id, text).
 
     ``removed`` lists the lines (from 0) that come after a similar one: an equal token set, or
     Jaccard of percent or more of the distinct words (A-Z lower-cased). Order is by doc_id
     (nulls first), then row (a hash of the text), then line; a match counts whether or not the earlier
-    line itself is removed. Lines with fewer than LEAST distinct words stay. Null text: one
+    line itself is removed. Lines with fewer than ``least`` distinct words stay, and so do blank ones. Null text: one
     empty line. Rows equal in id and text are taken as one document, with equal results. No rows:
     no rows.
     """
-    lined, classes = line_matches(docs, percent)
+    lined, classes = line_matches(docs, percent, least)
     each = lined.select("doc_id", "row", F.explode("lines").alias("l")).select("doc_id", "row", "l.line", "l.a", "l.b")
     place = F.struct("doc_id", "row", "line")
     gone = each.join(classes, ["a", "b"]).where(F.col("matched") | (place != F.col("first")))
@@ -254,9 +256,9 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     return out.select("doc_id", "row", "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))
 
 
-def drop_repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, percent: int = 80, least: int = LEAST) -> DataFrame:
     """docs without the lines that ``repeated_lines`` removes; n_chars, if there, follows. All rows stay."""
-    found = repeated_lines(docs, percent).where("n_removed > 0").select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.col("removed").alias("_removed"))
+    found = repeated_lines(docs, percent, least).where("n_removed > 0").select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.col("removed").alias("_removed"))
     found = keep(found.dropDuplicates(["_d", "_r"]))
     on = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (_row() == F.col("_r"))
     lines = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_removed", i))

@@ -302,6 +302,13 @@ def test_line_dedup(docs, empty):
     assert all(r["n_chars"] == len(r["text"]) for r in out.where("text is not null").collect())
 
 
+def test_line_dedup_of_short_lines(spark):
+    """Lines of one to four distinct words: equal sets go, and so do four words beside the same and one more."""
+    texts = ["all rights reserved.\nx\na b c d\n\np q r s t", "All Rights reserved.\nX\na b c\n\np q r s", "a b c d e\nx x\nd c b a\nb a\n\na b"]
+    got = linededup.repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r["doc_id"]: r["removed"] for r in got.collect()} == {0: [], 1: [0, 1, 4], 2: [0, 1, 2, 5]}
+
+
 def test_line_dedup_of_long_lists(spark, monkeypatch):
     """Lists longer than one pass, dealt over tasks, with chains of near lines: equal to all pairs by hand."""
     monkeypatch.setattr(linededup, "NEAR", 2)
