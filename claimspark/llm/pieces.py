@@ -28,7 +28,7 @@ from claimspark.llm.common import by_batches, lists, slices, texts
 MARK = "▁"
 #: Chunks over this many characters use the heap.
 WIDE = 48
-#: Encoded chunks held by a worker; all are dropped when the number is passed.
+#: Encoded chunks held by a worker between batches; the later half is dropped when the number is passed.
 HELD = 500_000
 NONE = np.int32(1 << 30)
 #: A run of word marks and what follows it, or text before the first mark.
@@ -161,8 +161,6 @@ class PieceEncoder:
 
     def learn(self, new: list[str]) -> None:
         """Encode chunks, compare with the library in one call, and hold them."""
-        if len(self.memo) + len(new) > HELD:  # what came first is what comes often
-            self.memo = dict(islice(self.memo.items(), HELD // 2))
         new = sorted((c for c in new if c), key=len)
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
@@ -193,10 +191,12 @@ class PieceEncoder:
         with the library (whose ids count)."""
         gc.disable()  # nothing here makes cycles, and the many small objects would set it off all the time
         parts = [self.chunks(t) for t in batch]
-        if new := set().union(*parts).difference(self.memo):
-            self.learn(list(new))
-            if gone := set().union(*parts).difference(self.memo):
-                self.learn(list(gone))
+        needed = set().union(*parts)
+        if new := needed.difference(self.memo):
+            if len(self.memo) + len(new) > HELD:  # what came first is what comes often
+                self.memo = dict(islice(self.memo.items(), HELD // 2))
+                new = needed.difference(self.memo)
+            self.learn(list(new))  # nothing is dropped until the batch is done
         get, end = self.memo.__getitem__, np.int32(self.end).tobytes()
         bad = self.differing
         gc.enable()

@@ -11,7 +11,7 @@ from itertools import islice
 
 import regex
 
-#: Words and word parts held by a worker; all are dropped when the number is passed.
+#: Words and word parts held by a worker between batches; the later half is dropped when the number is passed.
 HELD = 400_000
 #: A word with other characters than these sends its text to the library whole: outside them, Unicode
 #: versions, white space, composition and case may differ between the library and Python.
@@ -62,8 +62,6 @@ class WordEncoder:
         return self.pattern.findall(text)
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.word) + len(words) > HELD:  # what came first is what comes often
-            self.word = dict(islice(self.word.items(), HELD // 2))
         if len(self.part) > HELD:
             self.part = dict(islice(self.part.items(), HELD // 2))
         split = [self._parts(w) for w in words]
@@ -84,10 +82,12 @@ class WordEncoder:
             return [self._whole(t) for t in batch]
         gc.disable()  # nothing here makes cycles, and the many small objects would set it off all the time
         words = [t.lower().split() for t in batch]
-        if new := set().union(*words).difference(self.word):
-            self._learn(list(new))
-            if gone := set().union(*words).difference(self.word):
-                self._learn(list(gone))
+        needed = set().union(*words)
+        if new := needed.difference(self.word):
+            if len(self.word) + len(new) > HELD:  # what came first is what comes often
+                self.word = dict(islice(self.word.items(), HELD // 2))
+                new = needed.difference(self.word)
+            self._learn(list(new))  # nothing is dropped until the batch is done
         get = self.word.__getitem__
         out = []
         for text, own in zip(batch, words):

@@ -144,6 +144,18 @@ def test_words_equal_the_library():
         assert np.frombuffer(raw, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_batches_beyond_what_a_worker_holds(monkeypatch):
+    """One batch has more words than are held, some of them known and later than what stays."""
+    monkeypatch.setattr(words, "HELD", 40)
+    monkeypatch.setattr(pieces, "HELD", 40)
+    batches = [[" ".join(f"w{i}" for i in range(a, b))] for a, b in ((0, 38), (15, 95), (0, 200), (190, 230), (5, 12))]
+    coder, library = words.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    piece = pieces.PieceEncoder(PIECES)
+    for batch in batches:
+        assert np.frombuffer(coder.encode([t.encode() for t in batch])[0], np.uint32).tolist() == library.encode(batch[0], add_special_tokens=False).ids
+        assert np.frombuffer(piece.encode(batch)[0][0], np.int32).tolist() == piece.library.encode(batch[0]) + [2]
+
+
 def ids_of(text: str | None) -> np.ndarray:
     return np.array(Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids + [1], "<u4")
 
