@@ -99,6 +99,15 @@ def test_links_of_short_texts_are_not_lost(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: i - i % 2 for i, _ in rows}
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    copy = "one two three four five six seven eight"
+    rows = [(1, copy), (3, "rain falls on the old river"), (3, "another text of the same id"), (3, copy + "."), (3, copy), (3, ""), (3, "  ")]
+    rows += [(5, "p q r s t u v w"), (5, "p q r s t u v"), (7, "once only and alone"), (None, copy)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [rows[i] for i in (0, 1, 2, 3, 5, 6, 8, 9, 10)]  # of the two like texts of id 5 the first by text stays
+    assert Counter(map(tuple, minhash.drop_near_duplicates(docs, 4).collect())) == Counter(want)
+
+
 def test_densification_fills_every_bin():
     one = [np.array([5], np.uint64), np.arange(1, 2000, dtype=np.uint64) << np.uint64(50)]
     low = minhash.signatures(one)
