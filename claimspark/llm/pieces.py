@@ -180,15 +180,14 @@ class PieceEncoder:
             self.memo.update(zip(part, own))
 
     def _compared(self, chunk: str, symbols: list[int], expected: list[int]) -> bytes:
-        if self._ids(chunk, symbols) != expected and not (chunk == MARK and not expected):
+        ids = self._ids(chunk, symbols)
+        if ids != expected and not (chunk == MARK and not expected):
             self.differing.add(chunk)
-        elif chunk == MARK:
-            expected = symbols
-        return np.array(expected, np.int32).tobytes()
+        return np.array(ids, np.int32).tobytes()
 
     def encode(self, batch: list[str]) -> list[tuple[bytes, bool]]:
         """Ids of each text as 32-bit integers, with the end id, and whether all its chunks agreed
-        with the library (whose ids count)."""
+        with the library; the ids are the agenda's own."""
         gc.disable()  # nothing here makes cycles, and the many small objects would set it off all the time
         parts = [self.chunks(t) for t in batch]
         needed = set().union(*parts)
@@ -271,7 +270,7 @@ def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
 def piece_digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, agreed) for each row of docs (doc_id, text).
 
-    ``agreed`` is false where a chunk's ids differed from the library's, which then count.
+    ``agreed`` is false where a chunk's ids differed from the library's; they stay as the agenda made them.
     Null and empty texts have the end id alone. Null or repeated ids: rows stay as they are.
     No rows: no rows. No shuffle: each row is worked on where it is read.
     """

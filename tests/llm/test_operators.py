@@ -145,6 +145,15 @@ def test_pieces_of_odd_texts_by_heap_and_by_table():
         assert flat.tolist() == coder._merge_long(chunk)
 
 
+def test_a_fault_of_the_agenda_shows_in_the_ids():
+    coder = pieces.PieceEncoder(PIECES)
+    coder.rank, coder.made = coder.rank[:1], coder.made[:1]
+    coder.keys, coder.pairs = coder.keys[:1], {}
+    (raw, agreed), = coder.encode(["the river"])
+    ids = np.frombuffer(raw, np.int32).tolist()
+    assert not agreed and ids != coder.library.encode("the river") + [2] and len(ids) == len("▁the▁river") + 1
+
+
 def test_words_equal_the_library():
     coder, library = words.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
     odd = ["", " ", "it's a DON'T", "a<|endoftext|>b", "ﬁ İstanbul Ａ１２", "é é", "x\x1cy", "a\x0bb c\x0cd", "😀 ok", "½²ª", "l'amour 'tis", "__a_b--", "ΑΣ", "q\xada\x85b"]
