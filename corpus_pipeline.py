@@ -50,7 +50,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: The model, the tokenizer and the packing plan are beyond SQL; tests compare with a brute-force version.
+#: The model, the tokenizer and the packing plan are beyond SQL; tests compare line and near-dedup, one
+#: after the other, with a plain version; the chain of all stages has no such test.
 ORACLE_SQL = None
 
 

@@ -44,3 +44,33 @@ def test_entries_equal_their_sql(spark, name):
     got = entries.queries()[name](spark, SF)
     assert got.columns == columns
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
+def test_line_and_near_dedup_in_turn_keep_the_right_rows(spark):
+    """All rows against plain Python: short lines, and equal words broken into other lines."""
+    body = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(6)]
+    texts = ["\n".join([body[0], "all rights reserved."]), "\n".join([body[1], "All rights reserved.", "x"]), body[0], "", "x", body[2] + "\n" + body[3]]
+    texts += [body[2] + " more\nnew words of its own here", "\n".join([body[4], body[5]]), body[4] + "\nnew words of its own here"]
+    w = [f"y{i}" for i in range(18)]
+    texts += ["\n".join(" ".join(w[i:j]) for i, j in zip(cut, cut[1:])) for cut in ((0, 6, 12, 18), (0, 3, 9, 15, 18))]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    seen: list[set] = []
+    lined = []
+    for row in rows:
+        left = []
+        for line in row[1].split("\n"):
+            w = set(line.lower().split())
+            if not any(5 * len(w & v) >= 4 * len(w | v) for v in seen if w):
+                left.append(line)
+            seen += [w] if w else []
+        lined.append((row[0], "\n".join(left), *row[2:4], len("\n".join(left))))
+    sets = []
+    for row in lined:
+        w = row[1].lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    single = [r for i, r in enumerate(lined) if not any(sets[i] and 5 * len(sets[i] & s) >= 4 * len(sets[i] | s) for s in sets[:i])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    after = corpus_pipeline.keep(corpus_pipeline.line_dedup(spark, docs, SF))
+    assert sorted(map(tuple, after.collect())) == lined
+    assert sorted(map(tuple, corpus_pipeline.near_dedup(spark, after, SF).collect())) == single
+    assert lined != rows and single != lined
