@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import linededup, merkle, minhash, packing, pieces, pii, quality, sharding, sql, tokenstore, warc
+from claimspark.llm import fim, linededup, merkle, minhash, packing, pieces, pii, quality, sharding, spelling, sql, tokenstore, warc, wordtable
 from claimspark.llm.common import table
 
 
@@ -59,6 +59,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("level")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.restored(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+    shas = (F.sha2(F.encode(c, "UTF-8"), 256).alias(f"{c}_sha256") for c in ("output", "restored"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *shas)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    found = wordtable.decode(wordtable.encode(table(spark, sf_dir, "documents"), path), path)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(spelling.runs(table(spark, sf_dir, "documents"), least=6, drop=199), least=6, often=5)
+    return spelling.variant_groups(words, ratio=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,10 +94,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_pii,
         op10_quality_rules,
+        op11_fill_in_middle,
+        op12_byte_bpe,
+        op13_spelling,
     )
 }
 
-ORACLES = {"op1_minhash": sql.NEAR_DUPLICATES, "op4_line_dedup": sql.LINE_DEDUP, "op10_quality_rules": sql.QUALITY}
+ORACLES = {
+    "op1_minhash": sql.NEAR_DUPLICATES,
+    "op4_line_dedup": sql.LINE_DEDUP,
+    "op10_quality_rules": sql.QUALITY,
+    "op11_fill_in_middle": sql.FILL_IN_MIDDLE,
+    "op13_spelling": sql.SPELLING,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -76,3 +76,60 @@ QUALITY = f"""
 WITH t AS (SELECT doc_id, text, lang FROM documents), {_STATS}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM verdicts
 """
+
+FILL_IN_MIDDLE = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256(concat('7:', doc_id)) AS h FROM documents),
+u AS (
+  SELECT doc_id, text, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[25:32])::BIGINT AS h4,
+    list_filter(list_concat(list_transform(string_split(text, chr(10))[:-2], lambda x: x || chr(10)), string_split(text, chr(10))[-1:]),
+      lambda x: x <> '') AS l
+  FROM t),
+c AS (
+  SELECT *, len(l) AS n, least(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS a, greatest(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+p AS (
+  SELECT *, coalesce(array_to_string(l[1:a], ''), '') AS p, coalesce(array_to_string(l[a + 1:b], ''), '') AS m,
+    coalesce(array_to_string(l[b + 1:], ''), '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+SPELLING = rf"""
+WITH RECURSIVE k AS (  -- the checksum's table, from its polynomial
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS k),
+r AS (
+  SELECT doc_id, w, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents)
+  WHERE length(w) >= 6 GROUP BY 1, 2),
+b AS (  -- UTF-8 bytes of characters below 256
+  SELECT w, n, flatten(list_transform(string_split(concat(doc_id, ':', w), ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END)) AS bytes FROM r),
+h AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, k[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM b, k),
+v AS (
+  SELECT w, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w FROM h)
+  WHERE length(w) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+x AS (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM v),
+y AS (SELECT w, n, i, substr(w, 1, i - 1) AS a, substr(w, i + 1) AS z FROM x),
+near AS (
+  SELECT DISTINCT * FROM (
+    SELECT s.w, t.w AS o, t.n FROM y s JOIN y t ON s.i = t.i AND s.a = t.a AND s.z = t.z AND s.w <> t.w
+    UNION ALL SELECT y.w, v.w, v.n FROM y JOIN v ON v.w = y.a || y.z
+    UNION ALL SELECT v.w, y.w, y.n FROM y JOIN v ON v.w = y.a || y.z)),
+best AS (SELECT w, count(*) AS n_near, max(n) AS form_n FROM near GROUP BY 1),
+picked AS (SELECT b.w, b.n_near, b.form_n, min(o) AS form FROM best b JOIN near ON near.w = b.w AND near.n = b.form_n GROUP BY 1, 2, 3),
+f AS (SELECT v.w, v.n, coalesce(p.n_near, 0) AS n_near, CASE WHEN p.form_n >= 5 * v.n THEN p.form END AS form,
+  CASE WHEN p.form_n >= 5 * v.n THEN p.form_n END AS form_n FROM v LEFT JOIN picked p USING (w)),
+chain AS (
+  SELECT w, w AS z, 0 AS step FROM f
+  UNION ALL SELECT c.w, f.form, c.step + 1 FROM chain c JOIN f ON f.w = c.z WHERE f.form IS NOT NULL),
+root AS (SELECT w, max_by(z, step) AS root FROM chain GROUP BY 1)
+SELECT f.w AS word, f.form, root.root, f.n, f.n_near, f.form_n FROM f JOIN root USING (w)
+"""
