@@ -17,6 +17,7 @@ from claimspark.session import shared_dir
 
 #: Rows in an Arrow batch; texts may be long, so batches are kept short.
 BATCH_ROWS = 500
+BATCH_BYTES = 1 << 23
 #: Bytes of text that one numpy step works on.
 SLICE_BYTES = 1 << 20
 #: Bytes that separate words: blank and \t \n \v \f \r.
@@ -51,6 +52,13 @@ def by_batches(df: DataFrame, function: Callable, schema: str | StructType) -> D
     return df.mapInArrow(function, schema)
 
 
+def by_bytes(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with batches of up to BATCH_BYTES, or one row: few for short rows, bounded for long ones."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -67,6 +75,17 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_dealt(df: DataFrame, column: str) -> DataFrame:
+    """Like ``keep``, in buckets of a column: a later grouping by it reads the buckets and moves no row."""
+    spark = df.sparkSession
+    name = f"kept_{uuid.uuid4().hex}"
+    dealt = df.write.option("compression", "zstd").option("path", folder(spark, "kept"))
+    dealt.bucketBy(partitions(spark), column).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its entry in the catalog; the files stay, and the frame knows them
+    return out
+
+
 def texts(column: pa.Array) -> list[str]:
     """Strings of an Arrow column, null as empty."""
     return [t or "" for t in column.to_pylist()]

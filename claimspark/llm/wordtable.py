@@ -1,11 +1,11 @@
 """Byte-level BPE ids of whole texts through a table of distinct words, and decoding through pieces.
 
 Tasks split texts into words and write them as chunks: the distinct words of some megabytes of text,
-and for each text the numbers of its words in that list. Only the distinct words are then dealt by
-word; equal words stand next to each other in a sorted partition, so each is encoded once whatever
-its number of chunks. The ids go back to (chunk, number), and each chunk's texts are put together
-by position. A word is one row per chunk, so that no word is a hot key, and a chunk is bounded by
-its bytes, so that no group is.
+and for each text the numbers of its words in that list. Only the distinct words are dealt, by
+word; there, equal words of all chunks are sorted next to each other, so each is encoded once. The
+ids go back to (chunk, number), and each chunk's texts are put together by position. Words and
+ids travel packed, as many as one chunk has for one task, and are rows only inside tasks. A word
+comes once from a chunk, so that no word is a hot key, and a chunk is bounded by its bytes, so that no group is.
 
 A word here is a stretch of text that the library's pattern never joins to its neighbours: an
 optional blank and the characters up to the next white space, with letters and closing
@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from claimspark.llm.common import by_batches, keep, slices
+from claimspark.llm.common import by_bytes, keep_dealt, partitions, slices
 
 #: Bytes of text in a chunk, but one text at least.
 CHUNK_BYTES = 1 << 24
 #: Bits of a place that count words inside a chunk, and chunks inside a partition.
 WORD_BITS, CHUNK_BITS = 28, 14
+#: Rows in an Arrow batch of words.
+ROWS = 10_000
 #: Characters that Unicode calls white space: fixed values.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Latin letters, for words that are cut before closing punctuation.
@@ -104,8 +107,9 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-#: ``codes`` holds the number in ``words`` of each word of the texts, one text behind another.
-CHUNK = "chunk long, docs array<long>, counts array<long>, codes binary, words array<string>"
+#: ``codes`` holds the number of each word of the texts, one text behind another; ``deals`` the words and their numbers, by task.
+CHUNK = "chunk long, docs array<long>, counts array<long>, codes binary, deals array<struct<deal: int, n: int, numbers: binary, lengths: binary, bytes: int, words: binary>>"
+DEALT = pa.struct([("deal", pa.int32()), ("n", pa.int32()), ("numbers", pa.binary()), ("lengths", pa.binary()), ("bytes", pa.int32()), ("words", pa.binary())])
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -133,22 +137,33 @@ class _Chunk:
         self.codes.append(codes)
         self.size += len(text)
 
-    def row(self, number: int) -> pa.RecordBatch:
-        """Words numbered anew, the frequent ones first, which packs better."""
+    def row(self, number: int, tasks: int) -> pa.RecordBatch:
+        """Words numbered anew, the frequent ones first, which packs better; in order of task and word where equally frequent."""
         codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.uint32)
-        order = np.argsort(-np.bincount(codes, minlength=len(self.words)), kind="stable")
+        names = sorted(self.words)
+        old = np.fromiter(map(self.words.__getitem__, names), np.int64, len(names))
+        raw = [w.encode() for w in names]
+        deal = np.fromiter((zlib.crc32(w) % tasks for w in raw), np.int64, len(raw))
+        order = np.lexsort((deal, -np.bincount(codes, minlength=len(names))[old]))
         place = np.empty(len(order), np.uint32)
-        place[order] = np.arange(len(order), dtype=np.uint32)
-        words = pa.array(list(self.words), pa.string()).take(pa.array(order))
-        lists = [pa.array([self.docs], pa.list_(pa.int64())), pa.array([self.counts], pa.list_(pa.int64()))]
-        held = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+        place[old[order]] = np.arange(len(order), dtype=np.uint32)
+        deals = []
+        by_deal = np.argsort(deal[order], kind="stable")
+        for own in np.split(by_deal, np.flatnonzero(np.diff(deal[order][by_deal])) + 1) if len(by_deal) else []:
+            words = [raw[i] for i in order[own]]
+            text = b"".join(words)
+            lengths = packed(np.fromiter(map(len, words), np.uint32, len(words)))
+            words = pa.compress(text, codec="zstd", asbytes=True)
+            deals.append((int(deal[order[own[0]]]), len(own), packed(np.diff(own, prepend=0)), lengths, len(text), words))
+        lists = [pa.array([x], pa.list_(pa.int64())) for x in (self.docs, self.counts)]
+        dealt = pa.array([[dict(zip(DEALT.names, x)) for x in deals]], pa.list_(DEALT))
         return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), *lists, pa.array([packed(place[codes])], pa.binary()), held],
-            [x.split()[0] for x in CHUNK.split(", ")],
+            [pa.array([number], pa.int64()), *lists, pa.array([packed(place[codes])], pa.binary()), dealt],
+            ["chunk", "docs", "counts", "codes", "deals"],
         )
 
 
-def _chunks(path: str, limit: int):
+def _chunks(path: str, limit: int, tasks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = vocabulary(path).split
         number = TaskContext.get().partitionId() << CHUNK_BITS
@@ -158,14 +173,27 @@ def _chunks(path: str, limit: int):
                 for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                     chunk.add(doc_id, text or "", split(text or ""))
                     if chunk.size >= limit or len(chunk.words) >> (WORD_BITS - 1):
-                        yield chunk.row(number)
+                        yield chunk.row(number, tasks)
                         number, chunk = number + 1, _Chunk()
         if chunk.docs:
-            yield chunk.row(number)
+            yield chunk.row(number, tasks)
 
     return run
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, word) of the words that a chunk has for a task."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            x, n = row["x"], row["x"]["n"]
+            place = np.cumsum(unpacked(x["numbers"], n), dtype=np.int64) + (row["chunk"] << WORD_BITS)
+            stops = np.concatenate(([0], np.cumsum(unpacked(x["lengths"], n)))).astype(np.int32)
+            text = pa.decompress(x["words"], decompressed_size=x["bytes"], codec="zstd")
+            words = pa.StringArray.from_buffers(n, pa.py_buffer(stops), text)
+            for at in range(0, n, ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(place[at : at + ROWS]), words[at : at + ROWS]], ["place", "word"])
+
+
 def _encoded(path: str):
     """Ids of each row's word; rows come sorted by word, so that a word is new only where it changes."""
 
@@ -185,12 +213,48 @@ def _encoded(path: str):
     return run
 
 
+GATHERED = "chunk long, n int, numbers binary, lengths binary, total int, ids binary"
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of one chunk in a row, with their ids; rows come sorted by place."""
+
+    def row(chunk: int, held: list[tuple[np.ndarray, list[bytes]]]) -> pa.RecordBatch:
+        numbers = np.concatenate([x for x, _ in held])
+        found = [i for _, ids in held for i in ids]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        lengths = np.fromiter((len(i) // 4 for i in found), np.uint32, len(found))
+        values = [chunk, len(numbers), packed(np.diff(numbers, prepend=0)), packed(lengths), len(ids), packed(ids)]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], [x.split()[0] for x in GATHERED.split(", ")])
+
+    now, held = None, []
+    for batch in batches:
+        places, ids = batch.column("place").to_numpy(), batch.column("ids").to_pylist()
+        chunks = places >> WORD_BITS
+        cuts = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if held and chunks[a] != now:
+                yield row(now, held)
+                held = []
+            now = int(chunks[a])
+            held.append((places[a:b] & ((1 << WORD_BITS) - 1), ids[a:b]))
+    if held:
+        yield row(now, held)
+
+
 def _assembled(chunks: pa.Table, table: pa.Table) -> pa.Table:
     """(doc_id, ids) of the texts of one chunk: the ids of its words, taken by position."""
-    numbers = table.column("number").to_numpy()
-    order = np.argsort(numbers, kind="stable")
-    ids = table.column("ids").take(pa.array(order)).to_pylist()
-    get = ids.__getitem__
+    words = [b""] * sum(table.column("n").to_pylist())
+    for row in table.to_pylist():
+        ids = unpacked(row["ids"], row["total"]).tobytes()
+        stops = (4 * np.cumsum(unpacked(row["lengths"], row["n"]), dtype=np.int64)).tolist()
+        numbers = np.cumsum(unpacked(row["numbers"], row["n"]), dtype=np.int64).tolist()
+        for number, start, stop in zip(numbers, [0, *stops], stops):
+            words[number] = ids[start:stop]
+    get = words.__getitem__
     docs, out = [], []
     for row in chunks.to_pylist():
         codes = unpacked(row["codes"], sum(row["counts"]))
@@ -210,17 +274,14 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFr
     A text longer than a chunk is one by itself. No rows: no rows. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    chunks = keep(by_batches(docs, _chunks(path, chunk_bytes), CHUNK))
-    words = chunks.select("chunk", F.posexplode("words").alias("number", "word"))
-    place = F.shiftleft("chunk", WORD_BITS).bitwiseOR(F.col("number").cast("long"))
-    words = words.select(place.alias("place"), "word").repartition("word").sortWithinPartitions("word")
-    found = words.mapInArrow(_encoded(path), "place long, ids binary")
-    low = F.lit((1 << WORD_BITS) - 1)
-    found = found.select(
-        F.shiftright("place", WORD_BITS).alias("chunk"), F.col("place").bitwiseAND(low).cast("int").alias("number"), "ids"
-    )
+    tasks = partitions(docs.sparkSession)
+    chunks = keep_dealt(by_bytes(docs, _chunks(path, chunk_bytes, tasks), CHUNK), "chunk")
+    dealt = chunks.select("chunk", F.explode("deals").alias("x")).repartition(tasks, "x.deal")
+    words = by_bytes(dealt, _spread, "place long, word string").sortWithinPartitions("word")
+    found = by_bytes(words, _encoded(path), "place long, ids binary").sortWithinPartitions("place")
+    table = by_bytes(found, _gathered, GATHERED)
     texts = chunks.select("chunk", "docs", "counts", "codes").groupBy("chunk")
-    return texts.cogroup(found.groupBy("chunk")).applyInArrow(_assembled, "doc_id long, ids binary")
+    return texts.cogroup(table.groupBy("chunk")).applyInArrow(_assembled, "doc_id long, ids binary")
 
 
 class Pieces:
@@ -266,4 +327,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     are kept; one called ``decoded`` is replaced.
     """
     rest = encoded.drop("decoded")
-    return by_batches(rest, _decoded(path), StructType([*rest.schema.fields, StructField("decoded", StringType())]))
+    return by_bytes(rest, _decoded(path), StructType([*rest.schema.fields, StructField("decoded", StringType())]))
