@@ -33,7 +33,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from claimspark.llm.common import by_bytes, keep_dealt, partitions, slices
 
 #: Bytes of text in a chunk, but one text at least.
-CHUNK_BYTES = 1 << 24
+CHUNK_BYTES = 1 << 23
 #: Bits of a place that count words inside a chunk, and chunks inside a partition.
 WORD_BITS, CHUNK_BITS = 28, 14
 #: Rows in an Arrow batch of words.
@@ -42,7 +42,7 @@ ROWS = 10_000
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Latin letters, for words that are cut before closing punctuation.
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-WORD = rf" ?[{LETTERS}]++(?![^{SPACE}.,;:!?])| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]"
+WORDS = re.compile(rf" ?[{LETTERS}]++(?![^{SPACE}.,;:!?])| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 
 
 class Vocabulary:
@@ -66,19 +66,8 @@ class Vocabulary:
         # added tokens are found first, the longest where several start
         names = sorted((x["content"] for x in added), key=len, reverse=True)
         self.marks = re.compile("|".join(map(re.escape, names))) if names else None
-        self.word = re.compile(WORD)
         self.bytes_of = _byte_values()
 
-    def split(self, text: str) -> list[str]:
-        """The words of a text; joined they give the text."""
-        if self.marks is None or not self.marks.search(text):
-            return self.word.findall(text)
-        out, at = [], 0
-        for mark in self.marks.finditer(text):
-            out += [*self.word.findall(text[at : mark.start()]), mark[0]]
-            at = mark.end()
-        return out + self.word.findall(text[at:])
-
     def encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
         found = self.library.encode_batch_fast(words, add_special_tokens=False)
@@ -95,6 +84,17 @@ class Vocabulary:
         return out
 
 
+def split(text: str, marks: re.Pattern | None) -> list[str]:
+    """The words of a text, each mark one by itself; joined they give the text."""
+    if marks is None or not marks.search(text):
+        return WORDS.findall(text)
+    out, at = [], 0
+    for mark in marks.finditer(text):
+        out += [*WORDS.findall(text[at : mark.start()]), mark[0]]
+        at = mark.end()
+    return out + WORDS.findall(text[at:])
+
+
 def _byte_values() -> dict[str, int]:
     """The byte that each printable stand-in of byte-level vocabularies means."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -163,15 +163,14 @@ class _Chunk:
         )
 
 
-def _chunks(path: str, limit: int, tasks: int):
+def _chunks(marks: re.Pattern | None, limit: int, tasks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = vocabulary(path).split
         number = TaskContext.get().partitionId() << CHUNK_BITS
         chunk = _Chunk()
         for batch in batches:
             for part in slices(batch):
                 for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    chunk.add(doc_id, text or "", split(text or ""))
+                    chunk.add(doc_id, text or "", split(text or "", marks))
                     if chunk.size >= limit or len(chunk.words) >> (WORD_BITS - 1):
                         yield chunk.row(number, tasks)
                         number, chunk = number + 1, _Chunk()
@@ -245,23 +244,32 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(now, held)
 
 
+def spans(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The stretches of values that start and length tell, one behind another."""
+    shift = np.repeat(start - (np.cumsum(length) - length), length)
+    return values[shift + np.arange(len(shift))]
+
+
 def _assembled(chunks: pa.Table, table: pa.Table) -> pa.Table:
     """(doc_id, ids) of the texts of one chunk: the ids of its words, taken by position."""
-    words = [b""] * sum(table.column("n").to_pylist())
+    total = sum(table.column("n").to_pylist())
+    start, length, parts, at = np.zeros(total, np.int64), np.zeros(total, np.int64), [], 0
     for row in table.to_pylist():
-        ids = unpacked(row["ids"], row["total"]).tobytes()
-        stops = (4 * np.cumsum(unpacked(row["lengths"], row["n"]), dtype=np.int64)).tolist()
-        numbers = np.cumsum(unpacked(row["numbers"], row["n"]), dtype=np.int64).tolist()
-        for number, start, stop in zip(numbers, [0, *stops], stops):
-            words[number] = ids[start:stop]
-    get = words.__getitem__
+        numbers = np.cumsum(unpacked(row["numbers"], row["n"]), dtype=np.int64)
+        lengths = unpacked(row["lengths"], row["n"]).astype(np.int64)
+        length[numbers] = lengths
+        start[numbers] = at + np.cumsum(lengths) - lengths
+        parts.append(unpacked(row["ids"], row["total"]))
+        at += row["total"]
+    ids = np.concatenate(parts) if parts else np.empty(0, "<u4")
     docs, out = [], []
     for row in chunks.to_pylist():
         codes = unpacked(row["codes"], sum(row["counts"]))
         at = 0
         for doc_id, n in zip(row["docs"], row["counts"]):
+            own = codes[at : at + n]
             docs.append(doc_id)
-            out.append(b"".join(map(get, codes[at : at + n].tolist())))
+            out.append(spans(ids, start[own], length[own]).tobytes())
             at += n
     return pa.table([pa.array(docs, pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
@@ -275,7 +283,7 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFr
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     tasks = partitions(docs.sparkSession)
-    chunks = keep_dealt(by_bytes(docs, _chunks(path, chunk_bytes, tasks), CHUNK), "chunk")
+    chunks = keep_dealt(by_bytes(docs, _chunks(vocabulary(path).marks, chunk_bytes, tasks), CHUNK), "chunk")
     dealt = chunks.select("chunk", F.explode("deals").alias("x")).repartition(tasks, "x.deal")
     words = by_bytes(dealt, _spread, "place long, word string").sortWithinPartitions("word")
     found = by_bytes(words, _encoded(path), "place long, ids binary").sortWithinPartitions("place")
@@ -285,7 +293,7 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFr
 
 
 class Pieces:
-    """The id-to-piece table: as long as the vocabulary, so every task holds it."""
+    """The id-to-piece table: as long as the vocabulary, so every task gets it."""
 
     def __init__(self, path: str):
         pieces = vocabulary(path).pieces()
@@ -295,20 +303,13 @@ class Pieces:
 
     def joined(self, ids: np.ndarray) -> bytes:
         """Bytes of the pieces of the ids, one behind another; ids without a piece give none."""
-        ids = ids[ids < len(self.length)].astype(np.int64)
-        length = self.length[ids]
-        shift = np.repeat(self.start[ids] - (np.cumsum(length) - length), length)
-        return self.data[shift + np.arange(len(shift))].tobytes()
-
-
-@lru_cache(maxsize=2)
-def piece_table(path: str) -> Pieces:
-    return Pieces(path)
+        ids = ids[ids < len(self.length)]
+        return spans(self.data, self.start[ids], self.length[ids]).tobytes()
 
 
-def _decoded(path: str):
+def _decoded(pieces: Pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        joined = piece_table(path).joined
+        joined = pieces.joined
         for batch in batches:
             for part in slices(batch, "ids"):
                 raw = (joined(np.frombuffer(x or b"", "<u4")) for x in part.column("ids").to_pylist())
@@ -327,4 +328,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     are kept; one called ``decoded`` is replaced.
     """
     rest = encoded.drop("decoded")
-    return by_bytes(rest, _decoded(path), StructType([*rest.schema.fields, StructField("decoded", StringType())]))
+    return by_bytes(rest, _decoded(Pieces(path)), StructType([*rest.schema.fields, StructField("decoded", StringType())]))

@@ -99,13 +99,13 @@ def test_split_joins_to_the_text_and_encodes_alike(library):
     texts = [t or "" for t in ODD] + ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
     texts += [f"{a}<|endoftext|>{b}" for a, b in zip(texts[100:200], texts[200:300])]
     for text in texts:
-        words = own.split(text)
+        words = wordtable.split(text, own.marks)
         assert "".join(words) == text
         ids = [i for raw in own.encode(words) for i in np.frombuffer(raw, "<u4").tolist()]
         assert ids == library.encode(text, add_special_tokens=False).ids, text
 
 
-@pytest.mark.parametrize("chunk_bytes", [1, 2000, 1 << 24])
+@pytest.mark.parametrize("chunk_bytes", [1, 2000, 1 << 23])
 def test_ids_and_texts_equal_the_library(docs, empty, library, chunk_bytes):
     got = wordtable.decode(wordtable.encode(docs, PATH, chunk_bytes), PATH)
     want = []
