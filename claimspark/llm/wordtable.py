@@ -36,8 +36,8 @@ from claimspark.llm.common import by_bytes, keep_dealt, partitions, slices
 CHUNK_BYTES = 1 << 23
 #: Bits of a place that count words inside a chunk, and chunks inside a partition.
 WORD_BITS, CHUNK_BITS = 28, 14
-#: Rows in an Arrow batch of words.
-ROWS = 10_000
+#: Encoded words that a task holds before it gives them out by chunk.
+HELD = 1 << 19
 #: Characters that Unicode calls white space: fixed values.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Latin letters, for words that are cut before closing punctuation.
@@ -107,9 +107,25 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-#: ``codes`` holds the number of each word of the texts, one text behind another; ``deals`` the words and their numbers, by task.
-CHUNK = "chunk long, docs array<long>, counts array<long>, codes binary, deals array<struct<deal: int, n: int, numbers: binary, lengths: binary, bytes: int, words: binary>>"
-DEALT = pa.struct([("deal", pa.int32()), ("n", pa.int32()), ("numbers", pa.binary()), ("lengths", pa.binary()), ("bytes", pa.int32()), ("words", pa.binary())])
+#: ``codes`` holds the number of each word of the texts, one text behind another; ``deals`` the words, by the task
+#: that encodes them, joined by MARK. The word at position p in the list of task d has the number p * tasks + d.
+CHUNK = "chunk long, docs array<long>, counts array<long>, codes binary, deals array<struct<deal: int, words: string>>"
+#: Stands between words, and how it and the sign of such spellings are spelled inside of words.
+MARK, SPELLED = "\x01", [("\x02", "\x02b"), ("\x01", "\x02a")]
+
+
+def spelled(word: str) -> str:
+    if "\x01" in word or "\x02" in word:
+        for sign, other in SPELLED:
+            word = word.replace(sign, other)
+    return word
+
+
+def unspelled(word: str) -> str:
+    if "\x02" in word:
+        for sign, other in reversed(SPELLED):
+            word = word.replace(other, sign)
+    return word
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -138,25 +154,19 @@ class _Chunk:
         self.size += len(text)
 
     def row(self, number: int, tasks: int) -> pa.RecordBatch:
-        """Words numbered anew, the frequent ones first, which packs better; in order of task and word where equally frequent."""
+        """The frequent words of each task come first, so that codes are mostly small and pack well."""
         codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.uint32)
-        names = sorted(self.words)
-        old = np.fromiter(map(self.words.__getitem__, names), np.int64, len(names))
-        raw = [w.encode() for w in names]
-        deal = np.fromiter((zlib.crc32(w) % tasks for w in raw), np.int64, len(raw))
-        order = np.lexsort((deal, -np.bincount(codes, minlength=len(names))[old]))
+        names = list(self.words)
+        deal = np.fromiter((zlib.crc32(w.encode()) % tasks for w in names), np.int64, len(names))
+        order = np.lexsort((-np.bincount(codes, minlength=len(names)), deal))
+        starts = np.flatnonzero(np.diff(deal[order], prepend=-1))
         place = np.empty(len(order), np.uint32)
-        place[old[order]] = np.arange(len(order), dtype=np.uint32)
+        place[order] = (np.arange(len(order)) - np.repeat(starts, np.diff(starts, append=len(order)))) * tasks + deal[order]
         deals = []
-        by_deal = np.argsort(deal[order], kind="stable")
-        for own in np.split(by_deal, np.flatnonzero(np.diff(deal[order][by_deal])) + 1) if len(by_deal) else []:
-            words = [raw[i] for i in order[own]]
-            text = b"".join(words)
-            lengths = packed(np.fromiter(map(len, words), np.uint32, len(words)))
-            words = pa.compress(text, codec="zstd", asbytes=True)
-            deals.append((int(deal[order[own[0]]]), len(own), packed(np.diff(own, prepend=0)), lengths, len(text), words))
+        for own in np.split(order, starts[1:]) if len(order) else []:
+            deals.append({"deal": int(deal[own[0]]), "words": MARK.join(spelled(names[i]) for i in own)})
         lists = [pa.array([x], pa.list_(pa.int64())) for x in (self.docs, self.counts)]
-        dealt = pa.array([[dict(zip(DEALT.names, x)) for x in deals]], pa.list_(DEALT))
+        dealt = pa.array([deals], pa.list_(pa.struct([("deal", pa.int32()), ("words", pa.string())])))
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), *lists, pa.array([packed(place[codes])], pa.binary()), dealt],
             ["chunk", "docs", "counts", "codes", "deals"],
@@ -180,70 +190,51 @@ def _chunks(marks: re.Pattern | None, limit: int, tasks: int):
     return run
 
 
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(place, word) of the words that a chunk has for a task."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            x, n = row["x"], row["x"]["n"]
-            place = np.cumsum(unpacked(x["numbers"], n), dtype=np.int64) + (row["chunk"] << WORD_BITS)
-            stops = np.concatenate(([0], np.cumsum(unpacked(x["lengths"], n)))).astype(np.int32)
-            text = pa.decompress(x["words"], decompressed_size=x["bytes"], codec="zstd")
-            words = pa.StringArray.from_buffers(n, pa.py_buffer(stops), text)
-            for at in range(0, n, ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(place[at : at + ROWS]), words[at : at + ROWS]], ["place", "word"])
+GATHERED = "chunk long, n int, numbers binary, lengths binary, total int, ids binary"
+
+
+def _gathered(places: np.ndarray, ids: pa.Array) -> Iterator[pa.RecordBatch]:
+    """The words of each chunk in a row, with their ids."""
+    order = np.argsort(places, kind="stable")
+    places, ids = places[order], ids.take(pa.array(order))
+    chunks = places >> WORD_BITS
+    starts = np.flatnonzero(np.diff(chunks, prepend=-1))
+    for a, b in zip(starts, [*starts[1:], len(places)]):
+        numbers, own = places[a:b] & ((1 << WORD_BITS) - 1), ids[a:b]
+        flat = np.frombuffer(b"".join(own.to_pylist()), "<u4")
+        lengths = pc.binary_length(own).to_numpy() // 4
+        values = [int(chunks[a]), b - a, packed(np.diff(numbers, prepend=0)), packed(lengths), len(flat), packed(flat)]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], [x.split()[0] for x in GATHERED.split(", ")])
 
 
-def _encoded(path: str):
-    """Ids of each row's word; rows come sorted by word, so that a word is new only where it changes."""
+def _encoded(path: str, held_rows: int = HELD):
+    """Ids of the words, a row per chunk and ``held_rows``; rows come sorted by word, so that a word is new only where it changes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary(path).encode
-        last, held = None, b""
+        last, before = None, b""
+        places, ids, rows = [], [], 0
         for batch in batches:
             runs = pc.run_end_encode(batch.column("word"))
             words, stops = runs.values.to_pylist(), runs.run_ends.to_numpy()
-            found = encode(words[1:] if words and words[0] == last else words)
-            found = [held, *found] if len(found) < len(words) else found
+            new = words[1:] if words and words[0] == last else words
+            found = encode([unspelled(w) for w in new])
+            found = [before, *found] if len(found) < len(words) else found
             if words:
-                last, held = words[-1], found[-1]
-            ids = pa.array(found, pa.binary()).take(pa.array(np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0))))
-            yield pa.RecordBatch.from_arrays([batch.column("place"), ids], ["place", "ids"])
+                last, before = words[-1], found[-1]
+            places.append(batch.column("place").to_numpy())
+            ids.append(pa.array(found, pa.binary()).take(pa.array(np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0)))))
+            rows += batch.num_rows
+            if rows >= held_rows:
+                yield from _gathered(np.concatenate(places), pa.concat_arrays(ids))
+                places, ids, rows = [], [], 0
+        if rows:
+            yield from _gathered(np.concatenate(places), pa.concat_arrays(ids))
 
     return run
 
 
-GATHERED = "chunk long, n int, numbers binary, lengths binary, total int, ids binary"
-
-
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of one chunk in a row, with their ids; rows come sorted by place."""
-
-    def row(chunk: int, held: list[tuple[np.ndarray, list[bytes]]]) -> pa.RecordBatch:
-        numbers = np.concatenate([x for x, _ in held])
-        found = [i for _, ids in held for i in ids]
-        ids = np.frombuffer(b"".join(found), "<u4")
-        lengths = np.fromiter((len(i) // 4 for i in found), np.uint32, len(found))
-        values = [chunk, len(numbers), packed(np.diff(numbers, prepend=0)), packed(lengths), len(ids), packed(ids)]
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], [x.split()[0] for x in GATHERED.split(", ")])
-
-    now, held = None, []
-    for batch in batches:
-        places, ids = batch.column("place").to_numpy(), batch.column("ids").to_pylist()
-        chunks = places >> WORD_BITS
-        cuts = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
-        for a, b in zip(cuts, cuts[1:]):
-            if a == b:
-                continue
-            if held and chunks[a] != now:
-                yield row(now, held)
-                held = []
-            now = int(chunks[a])
-            held.append((places[a:b] & ((1 << WORD_BITS) - 1), ids[a:b]))
-    if held:
-        yield row(now, held)
-
-
 def spans(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The stretches of values that start and length tell, one behind another."""
     shift = np.repeat(start - (np.cumsum(length) - length), length)
@@ -252,10 +243,11 @@ def spans(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarr
 
 def _assembled(chunks: pa.Table, table: pa.Table) -> pa.Table:
     """(doc_id, ids) of the texts of one chunk: the ids of its words, taken by position."""
-    total = sum(table.column("n").to_pylist())
+    rows = table.to_pylist()
+    placed = [np.cumsum(unpacked(row["numbers"], row["n"]), dtype=np.int64) for row in rows]
+    total = max((int(x[-1]) + 1 for x in placed), default=0)
     start, length, parts, at = np.zeros(total, np.int64), np.zeros(total, np.int64), [], 0
-    for row in table.to_pylist():
-        numbers = np.cumsum(unpacked(row["numbers"], row["n"]), dtype=np.int64)
+    for row, numbers in zip(rows, placed):
         lengths = unpacked(row["lengths"], row["n"]).astype(np.int64)
         length[numbers] = lengths
         start[numbers] = at + np.cumsum(lengths) - lengths
@@ -285,9 +277,10 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFr
     tasks = partitions(docs.sparkSession)
     chunks = keep_dealt(by_bytes(docs, _chunks(vocabulary(path).marks, chunk_bytes, tasks), CHUNK), "chunk")
     dealt = chunks.select("chunk", F.explode("deals").alias("x")).repartition(tasks, "x.deal")
-    words = by_bytes(dealt, _spread, "place long, word string").sortWithinPartitions("word")
-    found = by_bytes(words, _encoded(path), "place long, ids binary").sortWithinPartitions("place")
-    table = by_bytes(found, _gathered, GATHERED)
+    words = dealt.select("chunk", "x.deal", F.posexplode(F.split("x.words", MARK)).alias("at", "word"))
+    place = F.shiftleft("chunk", WORD_BITS) + F.col("at").cast("long") * tasks + F.col("deal")
+    words = words.select(place.alias("place"), "word").sortWithinPartitions("word")
+    table = by_bytes(words, _encoded(path), GATHERED)
     texts = chunks.select("chunk", "docs", "counts", "codes").groupBy("chunk")
     return texts.cogroup(table.groupBy("chunk")).applyInArrow(_assembled, "doc_id long, ids binary")
 

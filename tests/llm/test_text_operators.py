@@ -19,7 +19,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, output string, decoded string, ids binary, word string, rank int"
 ODD = ["", None, "\n", "\n\n", "a", "a\n", "\na", "no end\nhere", "<P", "a<\nS>\n", "x <M> y\nz", "é\n中文\n😀\n", "b\r\nc\r\n", " ", "   two  blanks ", "tab\t\tend\t"]
 ODD += ["it's we'll I'VE 'tis don't", "a.b,c;d:e!f? (g) word. word, word!? Wort, naïve. ß. 1.5, 2024-01-05", "a b 　c d\u0085e\x1cf\x1fg", "abc <|endoftext|> def  <|endoftext|><|endoftext|>\n", "<|endoftext"]
-ODD += ["᠎​ x", "x \n y\n \nz \t\n", "é ﬁ Ⅷ ² ١٢", "\U0001f468‍\U0001f469 ️", "\x00nul", "-" * 300 + "a" * 5000, "中" * 400]
+ODD += ["᠎​ x", "x \n y\n \nz \t\n", "é ﬁ Ⅷ ² ١٢", "\U0001f468‍\U0001f469 ️", "\x00nul", "a\x01b \x02 \x02a\x01\x01\x02b\x02", "-" * 300 + "a" * 5000, "中" * 400]
 
 
 def prose(rng: random.Random, n: int) -> str:
@@ -121,14 +121,22 @@ def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
 
     words = ["a"] * 5 + ["b"] * 700 + ["c"] + ["d"] * 40
     seen = []
-    run = wordtable._encoded(PATH)
     own = wordtable.vocabulary(PATH)
     real = own.encode
     monkeypatch.setattr(own, "encode", lambda w: seen.extend(w) or real(w))
-    table = pa.table({"place": list(range(len(words))), "word": words})
-    out = pa.Table.from_batches(list(run(iter(table.to_batches(max_chunksize=3)))))
-    assert seen == ["a", "b", "c", "d"]
-    assert out["ids"].to_pylist() == real(words) and out["place"].to_pylist() == table["place"].to_pylist()
+    place = [((i * 7) % 3 << wordtable.WORD_BITS) + i for i in range(len(words))]
+    table = pa.table({"place": place, "word": words})
+    for held in (1, 100, 10**6):
+        seen.clear()
+        got = {}
+        for batch in wordtable._encoded(PATH, held)(iter(table.to_batches(max_chunksize=3))):
+            for x in batch.to_pylist():
+                numbers = np.cumsum(wordtable.unpacked(x["numbers"], x["n"]))
+                stops = np.cumsum(wordtable.unpacked(x["lengths"], x["n"]))
+                ids = wordtable.unpacked(x["ids"], x["total"])
+                got |= {(x["chunk"] << wordtable.WORD_BITS) + int(i): part.tobytes() for i, part in zip(numbers, np.split(ids, stops[:-1]))}
+        assert seen == ["a", "b", "c", "d"]
+        assert got == dict(zip(place, real(words)))
 
 
 def test_decode_of_any_ids(spark, library):
