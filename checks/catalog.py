@@ -27,6 +27,7 @@ from claimspark.plans import statements as st
 from claimspark.plans.headers import resolved_headers, validate_headers
 from claimspark.session import shared_dir, staged
 from claimspark.sources import tables as s
+from claimspark.sources.keyed import KeyedTable
 from claimspark.sources.keys import assign_ids
 
 AS_OF = date(2024, 1, 31)
@@ -260,7 +261,10 @@ def _(t):
 @entry("s4_update_by_key", "o_confirmed", "cd_item_ressarciment_sus_anexo:i sn_confirmar:s vl_procedimento:m")
 def _(t):
     changes = t["staging"].select(F.col("cd_item_ress_sus_anexo").alias(s.ITEM), F.lit("N").alias("sn_confirmar"))
-    return s.update_by_key(t["item"], changes, [s.ITEM], ["sn_confirmar"])
+    stored = KeyedTable(t.spark, t.scratch("keyed"), t["item"].schema, s.ITEM)
+    stored.create(t["item"], 8)
+    stored.update(changes, [s.ITEM], ["sn_confirmar"])
+    return stored.read()
 
 
 @entry("s5_consume_staging", "o_consumed", "ds_tabela:s cd_item_ress_sus_anexo:i")
@@ -268,7 +272,7 @@ def _(t):
     staging, path = t.scratch("staging"), t.scratch("taken")
     t["staging"].write.mode("overwrite").parquet(staging)
     s.consume_staging(t.spark, staging, path)
-    read = t.spark.read.parquet(path).withColumn("ds_tabela", F.lit("LIDO"))
+    read = s.taken_rows(t.spark, path, t["staging"].schema).withColumn("ds_tabela", F.lit("LIDO"))
     left = t.spark.read.parquet(staging).withColumn("ds_tabela", F.lit("SOBRA"))  # the stored table, read again
     return read.unionByName(left)
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from claimspark.schemas import schema
+from claimspark.sources.files import Folder, Log
 
 ITEM = "cd_item_ressarciment_sus_anexo"
 BAD_LINE = "linha_invalida"
@@ -75,15 +78,47 @@ def update_by_key(target: DataFrame, changes: DataFrame, keys: list[str], cols:
 
 
 def consume_staging(spark: SparkSession, staging: str, path: str) -> DataFrame:
-    """Take the rows stored under ``staging`` over into ``path``, then leave the staging table empty.
+    """Take the rows stored under ``staging`` over into ``path`` and drop the files that held them.
 
-    Staging is emptied only after the rows are written, so a job that stops between the two takes
-    the same rows again. Returns what a read of the staging table gives afterwards.
+    The files are listed once. Their rows are written as a generation of their own, which counts from the
+    moment its entry, with the list, is in the log of ``path``; then just these files are dropped. Rows that arrive
+    meanwhile are in other files and wait for the next call. A job that stops before the entry
+    leaves everything as it was; one that stops after it leaves files that the next call drops without
+    taking them again. Returns what a read of the staging table gives afterwards.
     """
-    rows = spark.read.parquet(staging)
-    rows.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(staging)
-    return spark.read.schema(rows.schema).parquet(staging)
+    place, log = Folder(spark, staging), Log(spark, f"{path}/_generations")
+    while True:
+        number, _ = log.last()
+        taken = {name for entry in log.entries() for name in entry["files"]}
+        found = place.names()
+        names = [n for n in found if n not in taken]
+        generation = f"generation-{uuid.uuid4().hex}"
+        try:
+            schema = spark.read.parquet(staging).schema
+            if names:
+                spark.read.schema(schema).parquet(*(f"{staging}/{n}" for n in names)).write.parquet(f"{path}/{generation}")
+            done = not names or log.add(number + 1, {"files": names, "rows": generation})
+        except Exception:
+            if log.last()[0] == number and place.names() == found:
+                raise
+            done = False  # the files went while they were read
+        if done:
+            break
+        Folder(spark, f"{path}/{generation}").delete()  # another job took the rows
+    # an empty file keeps the schema where a read finds it; it is moved in, as two writes into one folder disturb each other
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{staging}/.{generation}")
+    for name in place.names(f".{generation}"):
+        place.move(f".{generation}/{name}", name)
+    place.delete(f".{generation}")
+    for name in found:
+        place.delete(name)
+    return spark.read.schema(schema).parquet(staging)
+
+
+def taken_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of all generations that ``consume_staging`` took over."""
+    named = [f"{path}/{entry['rows']}" for entry in Log(spark, f"{path}/_generations").entries()]
+    return spark.read.schema(schema).parquet(*named) if named else spark.createDataFrame([], schema)
 
 
 def import_items(spark: SparkSession, path: str, notice_id: int | None = None, sep: str = ";") -> DataFrame:
