@@ -24,11 +24,13 @@ from claimspark.operators import payment as p
 from claimspark.operators import reimburse as r
 from claimspark.plans import reimbursement as job
 from claimspark.plans import statements as st
+from claimspark.plans import storage as store
 from claimspark.plans.headers import resolved_headers, validate_headers
 from claimspark.session import shared_dir, staged
 from claimspark.sources import tables as s
 from claimspark.sources.keyed import KeyedTable
 from claimspark.sources.keys import assign_ids
+from claimspark.sources.sequences import Sequence
 
 AS_OF = date(2024, 1, 31)
 TENANT = 1
@@ -178,6 +180,26 @@ class Frames(Derived):
     def payment(self, grain: str) -> DataFrame:
         return st.payment_statement(self.gated.filter(F.col("ds_destino") == "PAGAMENTO"), self, AS_OF)[grain]
 
+    #: Where the statements of a data set are stored, by session and folder: several entries read them.
+    _stored: dict[tuple[str, str], str] = {}
+
+    def stored(self, *chain: tuple[str, str]) -> DataFrame:
+        """Stored rows with those above them, by id: (table, column that holds the parent's id) from the lowest up to the reply."""
+        whose = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if whose not in self._stored:
+            base = self.scratch("statements")
+            store.write_statements(self, base, "lote1", AS_OF, TENANT)
+            self._stored[whose] = base
+        base = self._stored[whose]
+        rows = None
+        for depth, (name, parent) in enumerate((*chain, ("reply", "cd_tiss_mensagem_origem"))):
+            table = self.spark.read.parquet(f"{base}/{name}").drop("id_lote_carga")
+            own = table.columns[0]
+            table = table.select(*[F.col(c).alias(f"{c}_{depth}") for c in table.columns])
+            rows = table if rows is None else rows.join(table, F.col("_up") == F.col(f"{own}_{depth}"))
+            rows = rows.withColumn("_up", F.col(f"{parent}_{depth}"))
+        return rows.withColumnRenamed("_up", "id")
+
     @cached_property
     def numbered(self) -> DataFrame:
         failed = d.failed_requests(a.requests(self["message_mixed"], self["request"]))
@@ -290,6 +312,14 @@ def _(t):
     return t.heads
 
 
+@entry("s7_leased_ids", "o_head", "cd_reembolso:i " + KEYS_R1)
+def _(t):
+    numbers = Sequence(t.spark, t.scratch("numbers"), "seq_reembolso")
+    for _attempt in range(2):  # a job that is run again gets its block again
+        rows = assign_ids(t.draft, job.ORDER, lambda n: numbers.lease(n, "lote1"), "cd_reembolso")
+    return rows
+
+
 @entry("s8_export_impugned", "o_impugned", """cd_valida_item_ress_sus_anexo:i cd_item_ressarciment_sus_anexo:i
     cd_ressarcimento_sus:i nr_atendimento:i cd_cco:i cd_procedimento:i vl_procedimento:m ds_mensagem:s""")
 def _(t):
@@ -500,6 +530,55 @@ entry("a16_denial_rows", "j_out_denial", UNDER + "cd_procedimento:i cd_motivo_gl
     lambda t: t.analysis("denial")
 )
 
+ABOVE_GUIDE = ("analysis_guide", "id_pai"), ("analysis_protocol", "cd_tiss_dem_ana"), ("analysis_statement", "id_pai")
+
+
+def named(rows: DataFrame, depth: int, *cols: str) -> list:
+    return [F.col(f"{c}_{depth}").alias(c) for c in cols]
+
+
+@entry("s3_stored_procedures", "j_stored_proc", """id:i nr_protocolo:i nr_guia_prestador:s nr_guia_operadora:i nm_beneficiario:s
+    dt_inicio_fat:t vl_liberado_guia:m dt_realizacao:t cd_tipo_tabela:s cd_procedimento:i ds_procedimento:s vl_informado:m
+    qt_executada:m vl_processado:m vl_liberado:m""")
+def _(t):
+    rows = t.stored(("analysis_procedure", "id_pai"), *ABOVE_GUIDE)
+    guide = ("nr_guia_prestador", "nr_guia_operadora", "nm_beneficiario", "dt_inicio_fat", "vl_liberado_guia")
+    own = ("dt_realizacao", "cd_tipo_tabela", "cd_procedimento", "ds_procedimento", "vl_informado", "qt_executada", "vl_processado", "vl_liberado")
+    return rows.select("id", *named(rows, 0, *own), *named(rows, 1, *guide), *named(rows, 2, "nr_protocolo"))
+
+
+@entry("s3_stored_denials", "j_stored_denial", """id:i nr_protocolo:i nr_guia_operadora:i cd_procedimento:i cd_motivo_glosa:s
+    ds_motivo_glosa:s vl_glosa:m""")
+def _(t):
+    rows = t.stored(("analysis_denial", "id_pai"), ("analysis_procedure", "id_pai"), *ABOVE_GUIDE)
+    return rows.select(
+        "id", *named(rows, 0, "cd_motivo_glosa", "ds_motivo_glosa", "vl_glosa"), *named(rows, 1, "cd_procedimento"),
+        *named(rows, 2, "nr_guia_operadora"), *named(rows, 3, "nr_protocolo"),
+    )
+
+
+@entry("s3_stored_summaries", "j_stored_summary", """id:i dt_pagamento:d vl_total_info_item:m dt_protocolo:t nr_protocolo:i nr_lote:i
+    vl_informado:m vl_processado:m vl_liberado:m vl_glosa:m""")
+def _(t):
+    rows = t.stored(("payment_summary", "id_pai"), ("payment_item", "id_pai"), ("payment_statement", "id_pai"))
+    own = ("dt_protocolo", "nr_protocolo", "nr_lote", "vl_informado", "vl_processado", "vl_liberado", "vl_glosa")
+    return rows.select("id", *named(rows, 0, *own), *named(rows, 1, "dt_pagamento", "vl_total_info_item"))
+
+
+@entry("s3_stored_credits", "j_stored_credit", """id:i dt_pagamento:d vl_total_geral_informado:m tp_indicador:i tp_debito_credito:s
+    ds_debito_credito:s vl_debito_credito:m""")
+def _(t):
+    rows = t.stored(("payment_item_credit", "cd_tiss_dem_pgt_item"), ("payment_item", "id_pai"), ("payment_statement", "id_pai"))
+    own = ("tp_indicador", "tp_debito_credito", "ds_debito_credito", "vl_debito_credito")
+    return rows.select("id", *named(rows, 0, *own), *named(rows, 1, "dt_pagamento"), *named(rows, 2, "vl_total_geral_informado"))
+
+
+@entry("s3_stored_errors", "j_errors", "id:i cd_motivo_glosa:s ds_motivo_glosa:s")
+def _(t):
+    rows = t.stored(("error", "cd_tiss_mensagem"))
+    return rows.select("id", *named(rows, 0, "cd_motivo_glosa", "ds_motivo_glosa"))
+
+
 # --- payment statement ------------------------------------------------------------
 
 entry("p1_parse_period", "o_period", REQ + "dt_competencia:s nr_periodo:s dt_dia:d g_periodo_cd:s g_periodo_ds:s")(

@@ -683,6 +683,28 @@ from f_log""")
 step("j_errors", """
 select * from j_error_ana union all select * from j_error_pay
 union all select cd_tiss_demnstrv_retorno, id, g_cd, g_ds from j_gated where ds_destino = 'ERRO'""")
+# stored statements, each row with what stands above it
+step("j_stored_proc", """
+select q.id, p.nr_protocolo, p.nr_guia_prestador, p.nr_guia_operadora, p.nm_beneficiario, p.dt_inicio_fat, g.vl_liberado_guia,
+  p.dt_execucao as dt_realizacao, p.cd_tipo_tabela, p.cd_procedimento, p.ds_procedimento, p.vl_informado, p.qt_executada,
+  p.vl_processado, p.vl_liberado
+from j_out_proc p join j_gated q using (cd_tiss_demnstrv_retorno)
+join (select distinct cd_tiss_demnstrv_retorno, nr_protocolo, nr_guia_prestador, nr_guia_operadora, vl_liberado_guia, nm_beneficiario,
+    nr_numero_carteira, dt_inicio_fat, dt_fim_fat, cd_status_protocolo, dt_realizacao from j_out_guide) g
+  on g.cd_tiss_demnstrv_retorno = p.cd_tiss_demnstrv_retorno and g.nr_protocolo = p.nr_protocolo
+  and g.nr_guia_prestador is not distinct from p.nr_guia_prestador and g.nr_guia_operadora is not distinct from p.nr_guia_operadora
+  and g.nm_beneficiario is not distinct from p.nm_beneficiario and g.nr_numero_carteira is not distinct from p.nr_carteira
+  and g.dt_inicio_fat is not distinct from p.dt_inicio_fat and g.dt_fim_fat is not distinct from p.dt_fim_fat
+  and g.cd_status_protocolo is not distinct from p.cd_status_guia and g.dt_realizacao is not distinct from p.dt_realizacao""")
+step("j_stored_denial", "select q.id, d.* from j_out_denial d join j_gated q using (cd_tiss_demnstrv_retorno)")
+step("j_stored_summary", """
+select l.id, l.dt_pagamento_feito as dt_pagamento, c.vl_informado as vl_total_info_item, l.dt_protocolo, l.nr_protocolo, l.nr_lote,
+  l.vl_informado, l.vl_processado, l.vl_liberado, l.vl_glosa
+from j_listed l join j_carried c using (cd_tiss_demnstrv_retorno, dt_pagamento_feito, ramo, cd_itcon_pag, folha)""")
+step("j_stored_credit", """
+select s.id, c.dt_pagamento_feito as dt_pagamento, s.vl_total_geral_informado, c.tp_indicador, c.tp_debito_credito,
+  c.ds_debito_credito, c.vl_debito_credito
+from j_out_credit c join j_out_stat s using (cd_tiss_demnstrv_retorno)""")
 step("f_reply", """
 select f.cd_tiss_demnstrv_retorno, f.id as cd_tiss_mensagem_origem, '999999' as nr_registro_ans, c.valor as cd_versao,
   '999999' as cd_prestador, '5013' as cd_glosa, e.ds_motivo_glosa as ds_glosa

@@ -431,18 +431,18 @@ def day_text(c: str) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
 
 
-def statement_rows(req_totals: DataFrame, as_of: date) -> DataFrame:
+def statement_rows(req_totals: DataFrame, as_of: date, *ids: str) -> DataFrame:
     return req_totals.select(
-        REQUEST, "id", "nr_registro_ans", "ds_operadora", "nr_cnpj_operadora",
+        *ids, REQUEST, "id", "nr_registro_ans", "ds_operadora", "nr_cnpj_operadora",
         F.lit(as_of.isoformat()).alias("dt_emissao"), "cd_prestador",
         F.col("nm_prestador").alias("ds_prestador"), F.col("nr_cnes").alias("nr_cnes_prestador"),
         "vl_informado_geral", "vl_processado_geral", "vl_liberado_geral", "vl_glosa_geral",
     )
 
 
-def protocol_rows(totals: DataFrame) -> DataFrame:
+def protocol_rows(totals: DataFrame, *ids: str) -> DataFrame:
     return totals.select(
-        REQUEST, F.col("nr_lote_prestador").alias("nr_lote"), "nr_protocolo",
+        *ids, REQUEST, F.col("nr_lote_prestador").alias("nr_lote"), "nr_protocolo",
         day_text("dt_envio_lote").alias("dt_envio_lote"),
         F.col("cd_motivo_glosa").alias("cd_motivo_glosa_protocolo"), "ds_motivo_glosa",
         F.col("cd_status_final").alias("cd_status_protocolo"), "vl_informado_protocolo", "vl_processado_protocolo",
@@ -450,14 +450,19 @@ def protocol_rows(totals: DataFrame) -> DataFrame:
     )
 
 
-def open_protocols(totals: DataFrame) -> DataFrame:
+def open_protocols(totals: DataFrame, *ids: str) -> DataFrame:
     """Requested protocols without a denial: only these list guides, whatever the status."""
-    return totals.filter(F.col("cd_motivo_glosa").isNull()).select(REQUEST, *PAIR)
+    return totals.filter(F.col("cd_motivo_glosa").isNull()).select(*ids, REQUEST, *PAIR)
 
 
-def guide_rows(totals: DataFrame, lines: DataFrame) -> DataFrame:
-    return open_protocols(totals).join(lines, PAIR).select(
-        REQUEST, "nr_protocolo", F.col("cd_guia_externa").alias("nr_guia_prestador"),
+def guides_of(totals: DataFrame, lines: DataFrame, *ids: str) -> DataFrame:
+    """The guide lines of each open protocol of a request; ``ids`` of the protocol come along."""
+    return open_protocols(totals, *ids).join(lines, PAIR)
+
+
+def guide_rows(of_protocols: DataFrame, *ids: str) -> DataFrame:
+    return of_protocols.select(
+        *ids, REQUEST, "nr_protocolo", F.col("cd_guia_externa").alias("nr_guia_prestador"),
         F.col("nr_guia").alias("nr_guia_operadora"), F.col("nr_guia").alias("nr_senha"), "nm_beneficiario",
         F.col("nr_carteira").alias("nr_numero_carteira"), "dt_inicio_fat",
         hour_text(F.col("dt_inicio_fat")).alias("hr_inicio_fat"), "dt_fim_fat",
@@ -471,10 +476,9 @@ def guide_rows(totals: DataFrame, lines: DataFrame) -> DataFrame:
 PARENT = ["nm_beneficiario", "nr_carteira", "dt_inicio_fat", "dt_fim_fat", "dt_realizacao", "cd_status_guia"]
 
 
-def procedures_of_lines(totals: DataFrame, lines: DataFrame, procs: DataFrame) -> DataFrame:
-    """Every guide line repeats the procedures of its guide."""
-    parents = open_protocols(totals).join(lines.select(*GUIDE, *PARENT), PAIR)
-    return same_guide(parents, procs, "inner")
+def procedures_of(of_protocols: DataFrame, procs: DataFrame, *ids: str) -> DataFrame:
+    """Every guide line repeats the procedures of its guide; ``ids`` of the line come along."""
+    return same_guide(of_protocols.select(*ids, REQUEST, *GUIDE, *PARENT), procs, "inner")
 
 
 def _procedure_keys() -> list[Column]:
@@ -484,28 +488,29 @@ def _procedure_keys() -> list[Column]:
     ]
 
 
-def procedure_rows(of_lines: DataFrame) -> DataFrame:
+def procedure_rows(of_lines: DataFrame, *ids: str) -> DataFrame:
     return of_lines.select(
-        *_procedure_keys(), F.col("dt_realizado").alias("dt_execucao"), "cd_tipo_tabela", "cd_procedimento",
+        *ids, *_procedure_keys(), F.col("dt_realizado").alias("dt_execucao"), "cd_tipo_tabela", "cd_procedimento",
         "ds_procedimento", F.col("cd_atividade_medica").alias("cd_grau_participacao"), "vl_informado", "qt_executada",
         F.col("vl_informado").alias("vl_processado"), "vl_liberado",
     )
 
 
-def denial_rows(of_lines: DataFrame, reasons: DataFrame) -> DataFrame:
+def denial_rows(of_lines: DataFrame, reasons: DataFrame, *ids: str) -> DataFrame:
     return denial_reason(of_lines, reasons).select(
-        *_procedure_keys(), "cd_procedimento", "cd_motivo_glosa", "ds_motivo_glosa", "vl_glosa"
+        *ids, *_procedure_keys(), "cd_procedimento", "cd_motivo_glosa", "ds_motivo_glosa", "vl_glosa"
     )
 
 
 def analysis_rows(req_totals: DataFrame, totals: DataFrame, lines: DataFrame, procs: DataFrame, reasons: DataFrame,
                   as_of: date) -> dict[str, DataFrame]:
     """The statement's five grains. ``procs`` carries its table code already."""
-    of_lines = procedures_of_lines(totals, lines, procs)
+    guides = guides_of(totals, lines)
+    of_lines = procedures_of(guides, procs)
     return {
         "statement": statement_rows(req_totals, as_of),
         "protocol": protocol_rows(totals),
-        "guide": guide_rows(totals, lines),
+        "guide": guide_rows(guides),
         "procedure": procedure_rows(of_lines),
         "denial": denial_rows(of_lines, reasons),
     }

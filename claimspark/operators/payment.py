@@ -323,12 +323,12 @@ def transfer_summary(wanted: DataFrame, claims: DataFrame, lots: DataFrame, prot
     return rule_n.unionByName(rule_s)
 
 
-def summary_rows(items: DataFrame, transfers: DataFrame, summary: DataFrame) -> DataFrame:
-    """Transfer summaries listed under each item; processed equals released."""
+def summary_rows(items: DataFrame, transfers: DataFrame, summary: DataFrame, *ids: str) -> DataFrame:
+    """Transfer summaries listed under each item; processed equals released. ``ids`` of the item come along."""
     links = transfers_of(items, transfers).select("cd_con_pag", "folha", "cd_repasse_prestador")
     per_payable = links.join(summary, ["cd_repasse_prestador", "folha"])
-    return items.select(*ITEM, "cd_con_pag").join(per_payable, ["cd_con_pag", "folha"]).select(
-        *ITEM, "cd_repasse_prestador", "dt_protocolo", "nr_protocolo", "nr_lote", "vl_informado",
+    return items.select(*ids, *ITEM, "cd_con_pag").join(per_payable, ["cd_con_pag", "folha"]).select(
+        *ids, *ITEM, "cd_repasse_prestador", "dt_protocolo", "nr_protocolo", "nr_lote", "vl_informado",
         F.col("vl_liberado").alias("vl_processado"), "vl_liberado", "vl_glosa",
     )
 
@@ -358,14 +358,14 @@ def payable_credits(items: DataFrame, transfers: DataFrame, protocols: DataFrame
     )
 
 
-def credits_debits(items: DataFrame, of_payable: DataFrame) -> DataFrame:
-    """Credits and debits listed under each item."""
-    return items.select(*ITEM, "cd_con_pag").join(of_payable, "cd_con_pag").drop("cd_con_pag")
+def credits_debits(items: DataFrame, of_payable: DataFrame, *ids: str) -> DataFrame:
+    """Credits and debits listed under each item; ``ids`` of the item come along."""
+    return items.select(*ids, *ITEM, "cd_con_pag").join(of_payable, "cd_con_pag").drop("cd_con_pag")
 
 
 def item_totals(items: DataFrame, transfers: DataFrame, summary: DataFrame, of_payable: DataFrame,
-                per_item: bool = False) -> DataFrame:
-    """Totals of an item.
+                per_item: bool = False, ids: tuple[str, ...] = ()) -> DataFrame:
+    """Totals of an item; its ``ids`` come along.
 
     Informed, released and denied are carried over the items of a date in item order;
     ``per_item=True`` gives each item's own. Debits and credits are always the item's.
@@ -384,7 +384,7 @@ def item_totals(items: DataFrame, transfers: DataFrame, summary: DataFrame, of_p
     full = (
         items.join(paid, ["cd_con_pag", "folha"], "left")
         .join(adjusted, "cd_con_pag", "left")
-        .select(*DATED, "dt_pagamento_feito", "ramo", "cd_itcon_pag", "folha",
+        .select(*ids, *DATED, "dt_pagamento_feito", "ramo", "cd_itcon_pag", "folha",
                 *[money(F.coalesce(v, F.lit(0))).alias(v) for v in values])
     )
     return full if per_item else running_totals(full, DATE, ["cd_itcon_pag", "folha"], ITEM_VALUES)
@@ -429,7 +429,7 @@ def no_payment_errors(req: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def payment_statement_rows(req: DataFrame, totals: DataFrame, as_of: date) -> DataFrame:
+def payment_statement_rows(req: DataFrame, totals: DataFrame, as_of: date, *ids: str) -> DataFrame:
     """Statement heads; a request without dates keeps empty totals."""
     gross = {
         "vl_total_geral_informado": "vl_informado", "vl_total_geral_processado": "vl_informado",
@@ -439,15 +439,15 @@ def payment_statement_rows(req: DataFrame, totals: DataFrame, as_of: date) -> Da
         "vl_liberado_bruto": "vl_liberado", "vl_glosa_bruto": "vl_glosa",
     }
     return req.join(totals, REQUEST, "left").select(
-        REQUEST, "id", "nr_registro_ans", "ds_operadora", "nr_cnpj_operadora",
+        *ids, REQUEST, "id", "nr_registro_ans", "ds_operadora", "nr_cnpj_operadora",
         F.lit(as_of.isoformat()).alias("dt_emissao"), "cd_prestador", F.col("nm_prestador").alias("ds_prestador"),
         F.col("nr_cnes").alias("nr_cnes_prestador"), *[F.col(src).alias(out) for out, src in gross.items()],
     )
 
 
-def payment_item_rows(totals: DataFrame, details: DataFrame) -> DataFrame:
+def payment_item_rows(totals: DataFrame, details: DataFrame, *ids: str) -> DataFrame:
     return totals.join(details, "cd_itcon_pag", "left").select(
-        *ITEM, "tp_forma_pagamento", "cd_banco", F.col("cd_agencia").alias("nr_agencia"), "nr_conta_cheque",
+        *ids, *ITEM, "tp_forma_pagamento", "cd_banco", F.col("cd_agencia").alias("nr_agencia"), "nr_conta_cheque",
         F.col("vl_informado").alias("vl_total_info_item"), F.col("vl_liberado").alias("vl_total_processado_item"),
         F.col("vl_liberado").alias("vl_total_liberado_item"), F.col("vl_glosa").alias("vl_total_glosa_item"),
         F.col("vl_debitos").alias("vl_total_debitos_item"), F.col("vl_creditos").alias("vl_total_creditos_item"),

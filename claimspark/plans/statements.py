@@ -32,8 +32,8 @@ def judged_requests(t: Tables, as_of: date, tenant: int, fix_network_login: bool
     return d.provider_fallback(d.route(d.service_gate(read, t["config"])))
 
 
-def analysis_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = staged) -> dict[str, DataFrame]:
-    """Analysis statements of the requests routed to them.
+def analysis_frames(req: DataFrame, t: Tables, stage: Stage = staged) -> dict[str, DataFrame]:
+    """What the grains of the analysis statements are made of.
 
     Frames that several grains start from are materialised by ``stage``: they are read
     often, and a plan that repeats them grows with every use.
@@ -46,12 +46,19 @@ def analysis_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = st
     totals = stage(a.protocol_totals(protocols, rows, t["denial"]))
     lines = stage(a.guide_totals(rows, t["guide"], t["member"], t["provider"]))
     procs = a.procedure_table(a.guide_procedures(lines, rows), t["proctable"])
-    frames = a.analysis_rows(a.statement_totals(fine, totals), totals, lines, procs, t["reason"], as_of)
-    return {**frames, "error": a.error_rows(judged)}
+    return {
+        "heads": a.statement_totals(fine, totals), "totals": totals, "lines": lines, "procs": procs, "error": a.error_rows(judged),
+    }
 
 
-def payment_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = staged) -> dict[str, DataFrame]:
-    """Payment statements of the requests routed to them."""
+def analysis_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = staged) -> dict[str, DataFrame]:
+    """Analysis statements of the requests routed to them."""
+    f = analysis_frames(req, t, stage)
+    return {**a.analysis_rows(f["heads"], f["totals"], f["lines"], f["procs"], t["reason"], as_of), "error": f["error"]}
+
+
+def payment_frames(req: DataFrame, t: Tables, stage: Stage = staged) -> dict[str, DataFrame]:
+    """What the grains of the payment statements are made of."""
     known = a.contracted_provider(p.parse_period(req), t["provider"], t["address"])
     judged = stage(p.payment_verdict(known))
     fine = judged.filter(F.col("g_cabecalho").isNull() & F.col("g_corpo").isNull())
@@ -68,8 +75,25 @@ def payment_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = sta
     )
     credits = stage(p.payable_credits(items, t["transfer"], t["protocol"], t["lot"], t["claim"], t["creddeb"]))
     details = p.payment_details(t["payment"], t["payable_item"], t["payable"], t["supplier"], t["bank"])
-    frames = p.payment_rows(fine, dates, items, t["transfer"], summary, credits, details, as_of)
-    return {**frames, "error": a.error_rows(judged).unionByName(frames["error"])}
+    return {
+        "fine": fine, "dates": dates, "items": items, "summary": summary, "credits": credits, "details": details,
+        "error": a.error_rows(judged),
+    }
+
+
+def payment_statement(req: DataFrame, t: Tables, as_of: date, stage: Stage = staged) -> dict[str, DataFrame]:
+    """Payment statements of the requests routed to them."""
+    f = payment_frames(req, t, stage)
+    frames = p.payment_rows(f["fine"], f["dates"], f["items"], t["transfer"], f["summary"], f["credits"], f["details"], as_of)
+    return {**frames, "error": f["error"].unionByName(frames["error"])}
+
+
+def other_errors(req: DataFrame) -> DataFrame:
+    """Error rows of the requests that ask for neither statement."""
+    return req.filter(F.col("ds_destino") == "ERRO").select(
+        a.REQUEST, "id", F.col("g_cabecalho.cd_glosa").alias("cd_motivo_glosa"),
+        F.col("g_cabecalho.ds_glosa").alias("ds_motivo_glosa"),
+    )
 
 
 def statements(t: Tables, as_of: date, tenant: int = 1, stage: Stage = staged,
@@ -85,11 +109,7 @@ def statements(t: Tables, as_of: date, tenant: int = 1, stage: Stage = staged,
     numbered = assign_ids(failed, ["id"], first_log, "cd_tiss_mensagem_log")
     analysis = analysis_statement(req.filter(F.col("ds_destino") == "ANALISE"), t, as_of, stage)
     payment = payment_statement(req.filter(F.col("ds_destino") == "PAGAMENTO"), t, as_of, stage)
-    other = req.filter(F.col("ds_destino") == "ERRO").select(
-        a.REQUEST, "id", F.col("g_cabecalho.cd_glosa").alias("cd_motivo_glosa"),
-        F.col("g_cabecalho.ds_glosa").alias("ds_motivo_glosa"),
-    )
-    errors = analysis.pop("error").unionByName(payment.pop("error")).unionByName(other)
+    errors = analysis.pop("error").unionByName(payment.pop("error")).unionByName(other_errors(req))
     return {
         "reply": d.reply_header(req).unionByName(d.failed_replies(numbered, t["config"], tenant)),
         **{f"analysis_{k}": v for k, v in analysis.items()},

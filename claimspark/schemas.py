@@ -112,6 +112,46 @@ OUTPUTS: dict[str, str] = {
         ds_adicional string, cd_usuario_inclusao string, dt_usuario_inclusao date""",
     "reimbursement_denial": """cd_itreembolso_glosa bigint, cd_reembolso bigint, cd_procedimento bigint,
         cd_motivo bigint, cd_usuario_inclusao string, dt_usuario_inclusao date""",
+    "reply": """id bigint, cd_tiss_mensagem_origem bigint, tp_transacao string, nm_xml string, nr_registro_ans string,
+        nr_cnpj_operadora string, cd_versao string, cd_prestador string, nr_cnpj_prestador string,
+        nr_cpf_prestador string, cd_glosa string, ds_glosa string""",
+    "analysis_statement": """id bigint, id_pai bigint, nr_registro_ans bigint, nr_demonstrativo bigint,
+        ds_operadora string, nr_cnpj_operadora string, dt_emissao string, cd_prestador bigint, ds_prestador string,
+        nr_cnes_prestador bigint, vl_informado_geral decimal(18,2), vl_processado_geral decimal(18,2),
+        vl_liberado_geral decimal(18,2), vl_glosa_geral decimal(18,2)""",
+    "analysis_protocol": """id bigint, cd_tiss_dem_ana bigint, nr_lote bigint, nr_protocolo bigint,
+        dt_envio_lote string, cd_motivo_glosa_protocolo string, ds_motivo_glosa string, cd_status_protocolo bigint,
+        vl_informado_protocolo decimal(18,2), vl_processado_protocolo decimal(18,2), vl_protocolo decimal(18,2),
+        vl_glosa_protocolo decimal(18,2)""",
+    "analysis_guide": """id bigint, id_pai bigint, nr_guia_prestador string, nr_guia_operadora bigint, nr_senha bigint,
+        nm_beneficiario string, nr_numero_carteira string, dt_inicio_fat timestamp_ntz, hr_inicio_fat string,
+        dt_fim_fat timestamp_ntz, hr_fim_fat string, cd_status_protocolo bigint, vl_informado_guia decimal(18,2),
+        vl_processado_guia decimal(18,2), vl_liberado_guia decimal(18,2), vl_glosa_guia decimal(18,2)""",
+    "analysis_procedure": """id bigint, id_pai bigint, dt_realizacao timestamp_ntz, cd_tipo_tabela string,
+        cd_procedimento bigint, ds_procedimento string, cd_grau_participacao bigint, vl_informado decimal(18,2),
+        qt_executada decimal(18,2), vl_processado decimal(18,2), vl_liberado decimal(18,2)""",
+    "analysis_denial": """id bigint, id_pai bigint, cd_motivo_glosa string, ds_motivo_glosa string,
+        vl_glosa decimal(18,2)""",
+    "payment_statement": """id bigint, id_pai bigint, nr_registro_ans bigint, nr_demonstrativo bigint,
+        ds_operadora string, nr_cnpj_operadora string, dt_emissao string, cd_prestador bigint, ds_prestador string,
+        nr_cnes_prestador bigint, vl_total_geral_informado decimal(18,2), vl_total_geral_processado decimal(18,2),
+        vl_total_geral_liberado decimal(18,2), vl_total_geral_glosa decimal(18,2), vl_total_debitos_dem decimal(18,2),
+        vl_total_creditos_dem decimal(18,2), vl_liberado_dem decimal(18,2), vl_info_bruto decimal(18,2),
+        vl_processado_bruto decimal(18,2), vl_liberado_bruto decimal(18,2), vl_glosa_bruto decimal(18,2)""",
+    "payment_item": """cd_tiss_dem_pgt_item bigint, id_pai bigint, dt_pagamento date, tp_forma_pagamento string,
+        cd_banco bigint, nr_agencia string, nr_conta_cheque string, vl_total_info_item decimal(18,2),
+        vl_total_processado_item decimal(18,2), vl_total_liberado_item decimal(18,2), vl_total_glosa_item decimal(18,2),
+        vl_total_debitos_item decimal(18,2), vl_total_creditos_item decimal(18,2), vl_liquido_item decimal(18,2)""",
+    "payment_summary": """cd_tiss_dem_pgt_item_resumo bigint, id_pai bigint, dt_protocolo timestamp_ntz,
+        nr_protocolo bigint, nr_lote bigint, vl_informado decimal(18,2), vl_processado decimal(18,2),
+        vl_liberado decimal(18,2), vl_glosa decimal(18,2)""",
+    "payment_item_credit": """cd_tiss_dem_pgt_item_deb_cre bigint, cd_tiss_dem_pgt_item bigint, tp_indicador bigint,
+        tp_debito_credito string, ds_debito_credito string, vl_debito_credito decimal(18,2)""",
+    "payment_statement_credit": """cd_tiss_dem_pgt_deb_cre bigint, id_pai bigint, tp_indicador bigint,
+        tp_debito_credito string, ds_db_cr string, vl_db_cr decimal(18,2)""",
+    "error": """cd_tiss_dem_retorno_erro bigint, cd_tiss_mensagem bigint, cd_motivo_glosa string,
+        ds_motivo_glosa string""",
+    "log": "cd_tiss_mensagem_log bigint, cd_tiss_mensagem bigint, dt_log date, ds_log string",
 }
 
 MODEL = {**INPUTS, **OUTPUTS}

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimspark.sources.files import Folder
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "claimspark") -> SparkSession:
     """Session with adaptive execution, skew-join splitting and UTC dates.
@@ -62,3 +64,29 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Run:
+    """Frames that one job keeps until its results are written, in a folder of its own below the shared one.
+
+    ``with Run(spark) as run``: ``run.keep(frame)`` writes a frame and reads it back like ``staged``; at the
+    end the folder goes, so frames kept in it must not be read after that.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{shared_dir(spark)}/runs/{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.path}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        Folder(self.spark, self.path).delete()
+
+    def __enter__(self) -> Run:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,15 +55,11 @@ def append(df: DataFrame, path: str, batch: str) -> None:
     """Add the rows of one batch to a result table.
 
     The table is laid out by batch and a rerun of the same batch replaces only its
-    own folder, so a retried job does not add rows twice.
+    own folder, so a retried job does not add rows twice, nor keep rows it no longer has.
     """
-    (
-        df.withColumn("id_lote_carga", F.lit(batch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("id_lote_carga")
-        .parquet(path)
-    )
+    if not re.fullmatch(r"[\w.-]+", batch, re.ASCII):
+        raise ValueError("a batch is named by letters, digits, dots and dashes")
+    df.write.mode("overwrite").parquet(f"{path}/id_lote_carga={batch}")
 
 
 def update_by_key(target: DataFrame, changes: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
