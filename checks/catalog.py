@@ -65,6 +65,12 @@ class Frames(Derived):
     def heads(self) -> DataFrame:
         return assign_ids(self.draft, job.ORDER, 1, "cd_reembolso")
 
+    @cached_property
+    def job(self) -> dict[str, DataFrame]:
+        return job.generate_reimbursements(
+            *self.base, self["reimb"], self["member"], self["depara"], AS_OF, USER, TENANT
+        )
+
     # headers
     @cached_property
     def read(self) -> DataFrame:
@@ -366,14 +372,14 @@ entry("r10_reimbursement_header", "o_head", HEAD)(lambda t: t.draft)
 ITEM_KEYS = "cd_reembolso:i cd_ressarcimento_sus:i nr_atendimento:i cd_cco:i nm_municipio:s cd_uf:s nm_ups:s "
 entry("r11_reimbursement_items", "o_reimb_item", ITEM_KEYS + """cd_procedimento:i cd_procedimento_mapeado:i
     vl_procedimento:m qt_cobrado:i vl_cobrado:m cd_usuario_inclusao:s dt_usuario_inclusao:d""")(
-    lambda t: r.reimbursement_items(t.heads, t.lines(), USER)
+    lambda t: t.job["reimbursement_item"]
 )
 entry("r12_reimbursement_denials", "o_denial",
       ITEM_KEYS + "cd_procedimento:i cd_motivo:i cd_usuario_inclusao:s dt_usuario_inclusao:d")(
-    lambda t: r.reimbursement_denials(r.reimbursement_items(t.heads, t.lines(), USER), AS_OF)
+    lambda t: t.job["reimbursement_denial"]
 )
 entry("r13_back_link", "o_linked", "cd_item_ressarciment_sus_anexo:i sn_confirmar:s cd_reembolso:i")(
-    lambda t: r.back_link(t["item"], t.heads)
+    lambda t: t.job["item"]
 )
 entry("r14_confirm_items", "o_confirmed", "cd_item_ressarciment_sus_anexo:i vl_procedimento:m sn_confirmar:s")(
     lambda t: r.confirm_items(t["item"], t["staging"], "N")

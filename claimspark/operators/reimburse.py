@@ -40,15 +40,31 @@ def validated_items(items: DataFrame, val: DataFrame, notices: DataFrame, only_c
     return with_cco(of_notice.join(val.select(ITEM, "tp_validacao", "ds_mensagem"), ITEM))
 
 
+def open_rows(items: DataFrame, val: DataFrame, notices: DataFrame, reemb: DataFrame, only_confirmed: bool = True) -> DataFrame:
+    """What summary, items and critiques of the notices not reimbursed yet are made of: a job keeps it and scans the items once.
+
+    The reimbursed notices are dropped from the notices before the items are joined.
+    """
+    rows = validated_items(items, val, exclude_reimbursed(notices, reemb), only_confirmed)
+    return rows.select(
+        *SUMMARY, "cd_cco_base", "nr_div_cco", "dt_inicio", "dt_fim", "cd_procedimento", "vl_procedimento", "dt_oficio",
+        "tp_validacao", "ds_mensagem",
+    )
+
+
 def attendance_summary(items: DataFrame, val: DataFrame, notices: DataFrame, reemb: DataFrame,
                        only_confirmed: bool = True) -> DataFrame:
     """Dates, count and value per attendance and place, of notices not reimbursed yet.
 
     The reimbursed notices are dropped from the notices before the items are joined.
     """
-    rows = validated_items(items, val.filter(F.col("tp_validacao") != "E"), exclude_reimbursed(notices, reemb),
-                           only_confirmed)
-    totals = rows.groupBy(*SUMMARY).agg(
+    valid = val.filter(F.col("tp_validacao") != "E")
+    return summary_of(validated_items(items, valid, exclude_reimbursed(notices, reemb), only_confirmed))
+
+
+def summary_of(rows: DataFrame) -> DataFrame:
+    """Dates, count and value per attendance and place of validated items; errors and missing types do not count."""
+    totals = rows.filter(F.col("tp_validacao") != "E").groupBy(*SUMMARY).agg(
         F.max("dt_inicio").alias("dt_ultimo_inicio"),
         F.min("dt_inicio").alias("dt_atendimento"),
         F.max("dt_fim").alias("dt_alta"),
@@ -80,7 +96,12 @@ def map_procedures(df: DataFrame, depara: DataFrame, as_of: date) -> DataFrame:
 def attendance_items(items: DataFrame, val: DataFrame, notices: DataFrame, depara: DataFrame, as_of: date,
                      only_confirmed: bool = True) -> DataFrame:
     """Allowed value (nothing for a disputed row), original value and count per procedure."""
-    rows = map_procedures(validated_items(items, val, notices, only_confirmed), depara, as_of)
+    return items_of(validated_items(items, val, notices, only_confirmed), depara, as_of)
+
+
+def items_of(rows: DataFrame, depara: DataFrame, as_of: date) -> DataFrame:
+    """Allowed value, original value and count per attendance and procedure of validated items."""
+    rows = map_procedures(rows, depara, as_of)
     allowed = F.when(F.col("tp_validacao").eqNullSafe("I"), F.lit(0).cast("decimal(18,2)")).otherwise(
         F.col("vl_procedimento")
     )
@@ -94,9 +115,14 @@ def attendance_items(items: DataFrame, val: DataFrame, notices: DataFrame, depar
 def attendance_critiques(items: DataFrame, val: DataFrame, notices: DataFrame, depara: DataFrame, as_of: date,
                          only_confirmed: bool = True) -> DataFrame:
     """Distinct validation messages of an attendance."""
-    rows = validated_items(items, val.filter(F.col("ds_mensagem").isNotNull()), notices, only_confirmed)
+    noted = val.filter(F.col("ds_mensagem").isNotNull())
+    return critiques_of(validated_items(items, noted, notices, only_confirmed), depara, as_of)
+
+
+def critiques_of(rows: DataFrame, depara: DataFrame, as_of: date) -> DataFrame:
+    """Distinct messages per attendance of validated items."""
     return (
-        map_procedures(rows, depara, as_of)
+        map_procedures(rows.filter(F.col("ds_mensagem").isNotNull()), depara, as_of)
         .select(*ATTENDANCE, "cd_cco", "ds_mensagem", "tp_validacao", "cd_procedimento_mapeado")
         .distinct()
     )

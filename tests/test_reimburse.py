@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from claimspark.functions import split_cco
 from claimspark.operators import reimburse as r
-from claimspark.plans.reimbursement import generate_reimbursements, write_reimbursements
+from claimspark.plans.reimbursement import generate_reimbursements, reimburse, write_reimbursements
+from claimspark.session import shared_dir
+from claimspark.sources.files import Folder
+from claimspark.sources.keyed import KeyedTable
 from claimspark.sources.tables import append
 from tests.conftest import values
 
@@ -91,6 +94,27 @@ def test_whole_job(world, spark, tmp_path):
     assert again["reimbursement"].count() == 0
 
 
+def test_stored_job_scans_the_items_once_and_writes_few_files(world, spark, tmp_path):
+    base = str(tmp_path)
+    items = KeyedTable(spark, f"{base}/item", world["items"].schema, r.NOTICE)
+    items.create(world["items"], 2)
+    rest = {k: v for k, v in world.items() if k != "items"}
+    before = {f["file"] for f in items.manifest()}
+    for _attempt in range(2):
+        reimburse(items, **rest, base=base, batch="b1", as_of=AS_OF, user="U1", tenant=None)
+    assert values(spark.read.parquet(f"{base}/reimbursement"), "cd_reembolso") == [(1,), (2,)]
+    assert values(spark.read.parquet(f"{base}/reimbursement_denial"), "cd_itreembolso_glosa") == [(1,), (2,)]
+    assert values(items.read(), r.ITEM, "cd_reembolso") == [(1, 2), (2, 2), (3, 2), (4, 2), (5, None), (6, None)]
+    # the file of the other notice stays as it was
+    assert len(before & {f["file"] for f in items.manifest()}) == 1
+    runs = Folder(spark, f"{shared_dir(spark)}/runs")
+    assert len(runs._fs.listStatus(runs._at(""))) == 0
+    # summary, items and critiques read the kept rows, not the items
+    out = generate_reimbursements(**{**world, "items": items.read()}, as_of=AS_OF, user="U1", tenant=None)
+    for name in ("reimbursement", "reimbursement_item", "reimbursement_denial"):
+        assert not any(f"{base}/item" in x for x in out[name].inputFiles())
+
+
 def test_earlier_rule_equals_current_when_all_confirmed(world):
     args = (world["items"].withColumn("sn_confirmar", F.lit("S")), world["val"], world["notices"])
     new, old = (r.attendance_summary(*args, world["reemb"], flag) for flag in (True, False))
