@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimspark.functions import blank_to_null, hour_text, money, payee, poison_sum, verdict
+from claimspark.operators.dealt import SHARE, dealt_join
 from claimspark.operators.picks import first_by, look_up, match_count
 
 REQUEST = "cd_tiss_demnstrv_retorno"
@@ -354,12 +355,13 @@ def guide_totals(rows: DataFrame, guides: DataFrame, members: DataFrame, provide
     return totals.withColumn("cd_status_guia", status)
 
 
-def guide_procedures(keys: DataFrame, rows: DataFrame) -> DataFrame:
+def guide_procedures(keys: DataFrame, rows: DataFrame, share: int = SHARE) -> DataFrame:
     """Charged, released, denied and quantity per launch of a guide.
 
     A launch belongs to a guide by its own number, or by the external number when the
     own one differs: two disjoint equi-joins instead of an OR. Lines are summed before
-    they are joined.
+    they are joined. Every guide of an external number lists the launches of all the others, so a number that very many
+    guides share is dealt over several tasks, ``share`` guides and launches each.
     """
     sums = {"vl_informado": "vl_total_cobrado", "vl_liberado": "vl_total_pago", "vl_glosa": "vl_total_glosado",
             "qt_executada": "qt_pago"}
@@ -376,8 +378,14 @@ def guide_procedures(keys: DataFrame, rows: DataFrame) -> DataFrame:
         .withColumnRenamed("_pedido", "cd_prestador")
     )
     wanted = keys.select(*GUIDE).distinct()
-    by_own = wanted.join(base.withColumn("nr_guia", F.col("_own")), [*PAIR, "nr_guia"])
-    by_ext = wanted.join(base.withColumn("cd_guia_externa", F.col("_ext")), [*PAIR, "cd_guia_externa"]).filter(
+    own_known, ext_known = F.col("nr_guia").isNotNull(), F.col("cd_guia_externa").isNotNull()
+    by_own = dealt_join(
+        wanted.filter(own_known), base.withColumn("nr_guia", F.col("_own")).filter(own_known), [*PAIR, "nr_guia"], share
+    )
+    by_ext = dealt_join(
+        wanted.filter(ext_known), base.withColumn("cd_guia_externa", F.col("_ext")).filter(ext_known),
+        [*PAIR, "cd_guia_externa"], share,
+    ).filter(
         ~F.coalesce(F.col("nr_guia") == F.col("_own"), F.lit(False))
     )
     cols = [*GUIDE, *PROCEDURE, *sums]

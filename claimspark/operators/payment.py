@@ -106,7 +106,10 @@ def payment_dates(req: DataFrame, transfers: DataFrame, invoices: DataFrame, pay
     provider, tenant and the result of ``parse_period``.
     """
     keep_n, keep_s = gate(req, cfg, PAYROLL_KEY, "N"), gate(req, cfg, PAYROLL_KEY, "S")
-    real = payable_items.join(payables.select("cd_con_pag"), "cd_con_pag", "left_semi")
+    # the payables of the asked providers first: items and payments are joined for these alone
+    asked = wanted_transfers(transfers, keep_n.select("cd_prestador").unionByName(keep_s.select("cd_prestador")), "cd_prestador")
+    real = payables.select("cd_con_pag").join(asked.select("cd_con_pag").distinct(), "cd_con_pag", "left_semi")
+    real = payable_items.join(real, "cd_con_pag", "left_semi")
     paid = paid_on(real, payments).select("cd_con_pag", "dt_pagamento_feito").distinct()
 
     billed = (
@@ -153,7 +156,7 @@ def payment_items(dates: DataFrame, transfers: DataFrame, invoices: DataFrame, p
         .join(asked.select(F.col("cd_prestador").alias("_owner")).distinct(), "_owner", "left_semi")
     )
     owned = transfers.join(owners, "cd_prestador")
-    paid = paid_on(payable_items, payments)
+    paid = paid_on(payable_items.join(owned.select("cd_con_pag").distinct(), "cd_con_pag", "left_semi"), payments)
     known = payables.select("cd_con_pag", F.col("cd_multi_empresa").alias("_tenant"))
     by_invoice = (
         owned.join(invoices.select("cd_fatura", F.col("cd_multi_empresa").alias("_tenant")), "cd_fatura")
@@ -280,14 +283,17 @@ def transfer_summary(wanted: DataFrame, claims: DataFrame, lots: DataFrame, prot
     invoice, rule S by the claims linked to the transfer, where a lot without protocol
     stands for itself. Claims are summed per lot before anything is joined to them.
     """
-    informed = batch_guides.groupBy("cd_protocolo_ctamed").agg(
-        money(F.sum(text_number(F.col("vl_total_procedimento")))).alias("vl_guias")
-    )
+    def informed(of: DataFrame) -> DataFrame:
+        return of.groupBy("cd_protocolo_ctamed").agg(
+            money(F.sum(text_number(F.col("vl_total_procedimento")))).alias("vl_guias")
+        )
+
     sums = [F.sum("vl_total_pago").alias("pago"), F.sum("vl_total_glosado").alias("glosado")]
     heads = protocols.select("cd_protocolo_ctamed", "dt_envio_lote", "nr_lote_prestador", "cd_fatura")
 
     by_invoice = wanted.filter(F.col("folha") == "N").select("cd_repasse_prestador", "cd_fatura", "folha").distinct()
     lots_n = by_invoice.join(heads, "cd_fatura").join(lots.select("cd_lote", "cd_protocolo_ctamed"), "cd_protocolo_ctamed")
+    guides_n = batch_guides.join(lots_n.select("cd_protocolo_ctamed").distinct(), "cd_protocolo_ctamed", "left_semi")
     per_lot = (
         claims.join(lots_n.select("cd_lote").distinct(), "cd_lote", "left_semi").groupBy("cd_lote").agg(*sums)
     )
@@ -295,7 +301,7 @@ def transfer_summary(wanted: DataFrame, claims: DataFrame, lots: DataFrame, prot
         lots_n.join(per_lot, "cd_lote")
         .groupBy("cd_repasse_prestador", "folha", "dt_envio_lote", "cd_protocolo_ctamed", "nr_lote_prestador")
         .agg(F.sum("pago").alias("pago"), F.sum("glosado").alias("glosado"))
-        .join(informed, "cd_protocolo_ctamed", "left")
+        .join(informed(guides_n), "cd_protocolo_ctamed", "left")
         .select(
             "cd_repasse_prestador", "folha", F.col("dt_envio_lote").alias("dt_protocolo"),
             F.col("cd_protocolo_ctamed").alias("nr_protocolo"), F.col("nr_lote_prestador").alias("nr_lote"),
@@ -311,7 +317,7 @@ def transfer_summary(wanted: DataFrame, claims: DataFrame, lots: DataFrame, prot
         .agg(*sums)
         .join(lots.select("cd_lote", "cd_protocolo_ctamed", "dt_lote"), "cd_lote")
         .join(heads.drop("cd_fatura").withColumn("_found", F.lit(True)), "cd_protocolo_ctamed", "left")
-        .join(informed, "cd_protocolo_ctamed", "left")
+        .join(informed(batch_guides), "cd_protocolo_ctamed", "left")
         .select(
             "cd_repasse_prestador", "folha", F.coalesce("dt_envio_lote", "dt_lote").alias("dt_protocolo"),
             F.coalesce("cd_protocolo_ctamed", "cd_lote").alias("nr_protocolo"),

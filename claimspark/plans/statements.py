@@ -74,7 +74,10 @@ def payment_frames(req: DataFrame, t: Tables, stage: Stage = staged) -> dict[str
         p.transfer_summary(p.transfers_of(items, t["transfer"]), t["claim"], t["lot"], t["protocol"], t["batch_guide"])
     )
     credits = stage(p.payable_credits(items, t["transfer"], t["protocol"], t["lot"], t["claim"], t["creddeb"]))
-    details = p.payment_details(t["payment"], t["payable_item"], t["payable"], t["supplier"], t["bank"])
+    # the payments of the listed items alone are looked at for form, bank, office and account
+    listed = items.select("cd_itcon_pag").distinct()
+    paid, payable = (t[n].join(listed, "cd_itcon_pag", "left_semi") for n in ("payment", "payable_item"))
+    details = p.payment_details(paid, payable, t["payable"], t["supplier"], t["bank"])
     return {
         "fine": fine, "dates": dates, "items": items, "summary": summary, "credits": credits, "details": details,
         "error": a.error_rows(judged),

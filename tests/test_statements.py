@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimspark.operators import analysis as a
+from claimspark.operators import dealt
 from claimspark.operators import header as h
 from claimspark.operators import payment as p
 from claimspark.operators.ledger import account_name
@@ -102,6 +103,36 @@ def test_paid_by_either_guide_number_counts_a_line_once(spark):
         ("E", 1, 111.0), ("E", 2, 11.0), ("F", 1, 101.0), ("G", 4, None), (None, 3, 1000.0)]
 
 
+def hot_launches(spark):
+    """One external number on most guides; three launches a guide."""
+    ddl = ("nr_protocolo long, cd_prestador_pedido long, cd_prestador long, cd_prestador_principal long, tp_situacao string, "
+           "cd_guia_externa string, nr_guia long, cd_lancamento long, vl_total_cobrado decimal(18,2), vl_total_pago decimal(18,2)")
+    data = [(1, 7, 7, 7, "AT", "HOT" if g % 5 else f"E{g}", g if g % 7 else None, launch, D(g), D(launch)) for g in range(60) for launch in range(3)]
+    rows = spark.createDataFrame(data, ddl)
+    rest = {"dt_realizado": "timestamp_ntz", "cd_tabela": "string", "cd_procedimento": "bigint", "ds_procedimento": "string", "cd_motivo": "bigint",
+            "cd_atividade_medica": "bigint", "vl_unit_pago": "decimal(18,2)", "vl_total_glosado": "decimal(18,2)", "qt_pago": "decimal(18,2)"}
+    return rows.withColumns({c: F.lit(None).cast(t) for c, t in rest.items()})
+
+
+def test_hot_guide_number_is_dealt_with_the_same_result(spark):
+    rows = hot_launches(spark)
+    keys = rows.select("nr_protocolo", "cd_prestador", "cd_guia_externa", "nr_guia")
+    plain, cut = (sorted(map(repr, a.guide_procedures(keys, rows, share).collect())) for share in (1 << 20, 5))
+    assert plain == cut and len(plain) > 40 * 40
+
+
+def test_no_lot_of_a_hot_key_is_large(spark):
+    data = [("hot" if i % 3 else f"k{i}", i) for i in range(3000)]
+    left, right = spark.createDataFrame(data, "k string, x long"), spark.createDataFrame(data[:600], "k string, y long")
+    hot = dealt._hot(left, ["k"], 100, True).unionByName(dealt._hot(right, ["k"], 100, False)).groupBy("k").agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
+    assert [tuple(r) for r in hot.collect()] == [("hot", 20, 4)]
+    for df, own, other, copies in ((left, "_a", "_b", 4), (right, "_b", "_a", 20)):
+        sizes = [r["count"] for r in dealt._dealt(df, hot, ["k"], own, other).where("k = 'hot'").groupBy("_lot_a", "_lot_b").count().collect()]
+        assert len(sizes) == 80 and max(sizes) <= 150 and sum(sizes) == copies * df.where("k = 'hot'").count()
+    joined = dealt.dealt_join(left, right, ["k"], 100)
+    assert joined.count() == 2000 * 400 + 200 == left.join(right, "k").count() and joined.distinct().count() == joined.count()
+
+
 def test_missing_value_empties_the_statement_total(spark):
     req = spark.createDataFrame([(1,), (2,), (3,)], f"{a.REQUEST} long")
     cols = ["vl_informado_protocolo", "vl_processado_protocolo", "vl_protocolo", "vl_glosa_protocolo"]
