@@ -675,7 +675,7 @@ left join o_agency g using (cd_itcon_pag)""")
 request_steps("f_", "fx_message_mixed")
 step("f_log", f"""
 select row_number() over (order by id) as cd_tiss_mensagem_log, cd_tiss_demnstrv_retorno, id, id as cd_tiss_mensagem,
-  {AS_OF} as dt_log, 'ERRO: DATA/HORA DA TRANSACAO INVALIDA' as ds_log from f_request where ilegivel""")
+  {AS_OF} as dt_log, 'ERRO: DATA/HORA DA TRANSACAO INVALIDA: HORA INVALIDA' as ds_log from f_request where ilegivel""")
 step("f_error", """
 select cd_tiss_demnstrv_retorno, id, '5013' as cd_motivo_glosa,
   'OCORREU UM ERRO NO PROCESSAMENTO DA SUA REQUISIÇÃO. ERRO CÓD: ' || cast(cd_tiss_mensagem_log as varchar) as ds_motivo_glosa

@@ -9,6 +9,7 @@ from claimspark.functions.columns import (
     digits,
     hour_text,
     joined,
+    lenient_time,
     money,
     number_text,
     payee,
@@ -27,6 +28,7 @@ __all__ = [
     "digits",
     "hour_text",
     "joined",
+    "lenient_time",
     "money",
     "number_text",
     "payee",

@@ -84,3 +84,60 @@ def verdict(condition: Column, code: str, text: Column | str) -> Column:
     text = F.lit(text) if isinstance(text, str) else text
     return F.when(condition, F.struct(F.lit(code).alias("cd_glosa"), text.alias("ds_glosa")))
 
+
+
+# Fields of a date text by the letters of its form: digits, least and largest value, what to say otherwise.
+_FIELDS = {
+    "Y": (4, 1, 9999, "ANO INVALIDO"),
+    "M": (2, 1, 12, "MES INVALIDO"),
+    "D": (2, 1, 31, "DIA INVALIDO"),
+    "h": (2, 0, 23, "HORA INVALIDA"),
+    "m": (2, 0, 59, "MINUTO INVALIDO"),
+    "s": (2, 0, 59, "SEGUNDO INVALIDO"),
+}
+_TIME = "hms"
+NO_DIGITS, TOO_SHORT, TOO_LONG = "CARACTER NAO NUMERICO", "TEXTO CURTO DEMAIS", "TEXTO LONGO DEMAIS"
+NOT_IN_MONTH = "DIA NAO EXISTE NO MES"
+
+
+def _date_pattern(form: str, closed: bool) -> str:
+    """Each field with fewer digits if a separator follows, or with all of them; the time may end early."""
+    between = r"(?:\s*[^0-9A-Za-z\s]\s*|\s+)"
+    out, ends = r"^\s*", ""
+    for i, f in enumerate(form):
+        width = _FIELDS[f][0]
+        if f in _TIME:
+            out += "(?:"
+            ends += ")?"
+        last = i == len(form) - 1
+        stop = rf"(?={between}|$)" if f in _TIME or form[i + 1 : i + 2] in _TIME else f"(?={between})"
+        out += rf"([0-9]{{1,{width}}}{'' if last else stop}|[0-9]{{{width}}})" + ("" if last else f"(?:{between})?")
+    return out + ends + (r"\s*$" if closed else "")
+
+
+def lenient_time(text: Column, form: str) -> Column:
+    """(ts, cause) of a date text in the order of ``form``, letters of ``_FIELDS``, by the database's lenient rule.
+
+    Fields may lack leading zeros where a separator follows, any punctuation or blank separates, separators may be missing
+    between fields of full width, extra blanks do not count, and time fields at the end may be left out and are zero. A text that
+    goes on after its last field, has no digit where one is due, or names a date that does not exist has no ``ts``; ``cause`` says
+    why. NULL gives NULL in both.
+    """
+    whole, open_ = _date_pattern(form, True), _date_pattern(form, False)
+    raw = {f: F.regexp_extract(text, open_, i + 1) for i, f in enumerate(form)}
+    value = {f: F.coalesce(F.nullif(raw[f], F.lit("")).cast("int"), F.lit(0)) if f in raw else F.lit(0) for f in _FIELDS}
+    out_of_range = [
+        F.when((value[f] < low) | (value[f] > high), message) for f, (_, low, high, message) in _FIELDS.items() if f in form
+    ]
+    first = F.make_date(value["Y"], value["M"], F.lit(1))
+    in_range = ~F.coalesce(*[F.when((value[f] < low) | (value[f] > high), True) for f, (_, low, high, _m) in _FIELDS.items() if f in form], F.lit(False))
+    exists = F.when(in_range & text.rlike(open_), value["D"] <= F.dayofmonth(F.last_day(first)))
+    cause = (
+        F.when(text.isNull(), F.lit(None))
+        .when(~text.rlike(open_), F.when(text.rlike(r"[^0-9\W]|_"), NO_DIGITS).otherwise(TOO_SHORT))
+        .when(~in_range, F.coalesce(*out_of_range))
+        .when(~exists, NOT_IN_MONTH)
+        .when(~text.rlike(whole), TOO_LONG)
+    )
+    made = F.make_timestamp_ntz(value["Y"], value["M"], value["D"], value["h"], value["m"], value["s"].cast("decimal(16,6)"))
+    return F.struct(F.when(text.isNotNull() & cause.isNull(), made).alias("ts"), cause.alias("cause"))

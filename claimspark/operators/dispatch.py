@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimspark.functions import joined, verdict
 from claimspark.operators.analysis import REQUEST
-from claimspark.operators.header import transaction_time
+from claimspark.operators.header import TIME, transaction_time
 from claimspark.sources.tables import config
 
 # Codes and texts: fixed values.
@@ -88,14 +88,15 @@ def reply_header(df: DataFrame) -> DataFrame:
 
 
 def failed_requests(req: DataFrame) -> DataFrame:
-    """Requests the statement job cannot read: their date is not in the one form it takes."""
+    """Requests the statement job cannot read, with the cause: their date is not in the one form it takes."""
     sent = F.col("dt_transacao").isNotNull() | F.col("hr_transacao").isNotNull()
-    return req.filter(sent & transaction_time("yyyy-MM-dd HH:mm:ss").isNull())
+    read = req.withColumn("_time", transaction_time(TIME))
+    return read.filter(sent & F.col("_time.ts").isNull()).withColumn("ds_causa", F.col("_time.cause")).drop("_time")
 
 
 def readable_requests(req: DataFrame) -> DataFrame:
     unsent = F.col("dt_transacao").isNull() & F.col("hr_transacao").isNull()
-    return req.filter(unsent | transaction_time("yyyy-MM-dd HH:mm:ss").isNotNull())
+    return req.filter(unsent | transaction_time(TIME)["ts"].isNotNull())
 
 
 def failed_replies(numbered: DataFrame, cfg: DataFrame, tenant: int) -> DataFrame:
@@ -115,10 +116,10 @@ def failed_replies(numbered: DataFrame, cfg: DataFrame, tenant: int) -> DataFram
 
 
 def error_log(numbered: DataFrame, as_of: date) -> DataFrame:
-    """Log row of each failed request. ``numbered`` carries ``cd_tiss_mensagem_log``."""
+    """Log row of each failed request, naming the cause. ``numbered`` carries ``cd_tiss_mensagem_log``."""
     return numbered.select(
         "cd_tiss_mensagem_log", F.col("id").alias("cd_tiss_mensagem"), F.lit(as_of).alias("dt_log"),
-        F.lit(LOGGED).alias("ds_log"),
+        F.concat(F.lit(LOGGED), F.lit(": "), F.col("ds_causa")).alias("ds_log"),
     )
 
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.functions import blank_to_null, digits, joined, number_text, verdict
+from claimspark.functions import blank_to_null, digits, joined, lenient_time, number_text, verdict
 from claimspark.operators.picks import look_up, match_count
 from claimspark.sources.tables import config
 
@@ -35,21 +35,23 @@ BAD_LOGIN = "REMETENTE N?O IDENTIFICADO - LOGIN OU SENHA do PRESTADOR INVALIDOS"
 
 CHECK_LOGIN_KEY = "WEBSERVICE_VALIDA_LOGIN_SENHA"
 MD5_KEY = "WEBSERVICE_SENHA_MD5"
+# Order of the fields in a message's date and hour, now and in the older versions.
+TIME, OLD_TIME = "YMDhms", "DMYhm"
 NETWORK_LOGIN_KEY = "TISS_LOGIN_UNIMED"
 NETWORK_SECRET_KEY = "TISS_SENHA_UNIMED"
 
 
-def transaction_time(pattern: str) -> Column:
-    text = joined(F.col("dt_transacao"), F.lit(" "), F.substring("hr_transacao", 1, 8))
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+def transaction_time(form: str) -> Column:
+    """(ts, cause) of the date and hour that a message was sent with."""
+    return lenient_time(joined(F.col("dt_transacao"), F.lit(" "), F.substring("hr_transacao", 1, 8)), form)
 
 
 def message_fields(messages: DataFrame, as_of: date) -> DataFrame:
     """The fields the rules read, cleaned. A date that cannot be read blanks them all."""
     sent = F.col("dt_transacao").isNotNull() | F.col("hr_transacao").isNotNull()
     parsed = F.when(
-        F.col("cd_versao") <= LAST_SLASH_DATE_VERSION, transaction_time("dd/MM/yyyy HH:mm")
-    ).otherwise(transaction_time("yyyy-MM-dd HH:mm:ss"))
+        F.col("cd_versao") <= LAST_SLASH_DATE_VERSION, transaction_time(OLD_TIME)["ts"]
+    ).otherwise(transaction_time(TIME)["ts"])
     read = messages.withColumn("dt_mensagem", F.when(sent, parsed).otherwise(F.lit(as_of).cast("timestamp_ntz")))
     ok = F.col("dt_mensagem").isNotNull()
 

@@ -1,16 +1,14 @@
 """Stored statements: every row has one parent, ids are dense blocks, a rerun adds nothing."""
 
-from datetime import timedelta
-
 import pytest
 from pyspark.sql import functions as F
 
 from checks.catalog import AS_OF, TENANT, Frames
 from claimspark.plans import storage
 from claimspark.schemas import schema
-from claimspark.session import shared_dir
+from claimspark.session import Run, shared_dir
 from claimspark.sources.files import Folder, Log
-from tests.conftest import SF
+from tests.conftest import SF, values
 
 # Table, its id, the table above and the column that holds that one's id.
 TREE = [
@@ -98,17 +96,21 @@ def test_failed_requests_lead_to_their_log(tables):
     assert sorted(log["cd_tiss_mensagem_log"]) == list(range(1, len(log) + 1))
 
 
-def test_a_rerun_adds_nothing_and_another_batch_takes_other_numbers(spark, base, tables):
+def test_a_rerun_adds_nothing_and_keeps_its_numbers(spark, base, tables):
     storage.write_statements(Mixed(spark, SF), base, "b1", AS_OF, TENANT)
     for n in storage.STORED:
         again = spark.read.schema(schema(n)).parquet(f"{base}/{n}").toPandas()
         assert len(again) == len(tables[n])
         assert set(again.iloc[:, 0]) == set(tables[n].iloc[:, 0])
-    storage.write_statements(Mixed(spark, SF), base, "b2", AS_OF + timedelta(days=1), TENANT)
-    both = spark.read.parquet(f"{base}/analysis_procedure")
-    assert both.count() == 2 * len(tables["analysis_procedure"]) == both.select("id").distinct().count()
-    heads = spark.read.parquet(f"{base}/analysis_statement")
-    assert heads.select(F.max("dt_emissao")).first()[0] == (AS_OF + timedelta(days=1)).isoformat()
+
+
+def test_another_batch_takes_other_numbers(spark, base, tables):
+    with Run(spark) as run:
+        rows = spark.range(50).withColumnRenamed("id", "k")
+        given = storage.Numbers(run, base, "b2").give(rows, ["k"], "analysis_guide", "n")
+        first = min(values(given, "n"))[0]
+        assert values(given.filter(F.col("n") != F.col("k") + first), "n") == []
+        assert first > max(int(tables[n].iloc[:, 0].max()) for n in storage.STORED if n != "log")
 
 
 def test_no_frame_of_a_run_stays(spark, base):

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimspark.operators import analysis as a
+from claimspark.functions import lenient_time
 from claimspark.operators import dealt
+from claimspark.operators import dispatch as d
 from claimspark.operators import header as h
 from claimspark.operators import payment as p
 from claimspark.operators.ledger import account_name
@@ -85,6 +87,39 @@ def test_hashed_secret_and_earlier_rule(table, registry, secrets):
     assert values(old, "id", "sn_senha_prestador") == [(1, "N"), (2, "N"), (3, "S")]
 
 
+# Date texts, what they say in the order year first, and why they say nothing.
+TIMES = [
+    ("2024-01-05 10:20:30", "2024-01-05 10:20:30"), ("2024-1-5 1:2:3", "2024-01-05 01:02:03"), ("2024-01-05", "2024-01-05 00:00:00"),
+    ("2024-01-05 ", "2024-01-05 00:00:00"), ("2024/01/05 10.20", "2024-01-05 10:20:00"), ("20240105 102030", "2024-01-05 10:20:30"),
+    ("20240105102030", "2024-01-05 10:20:30"), ("2024-01-05  10", "2024-01-05 10:00:00"), ("24-1-5", "0024-01-05 00:00:00"),
+    (" 2024 - 2 - 29 ", "2024-02-29 00:00:00"), ("2024-01-05 23:59:59", "2024-01-05 23:59:59"),
+    ("2024-13-05", "MES INVALIDO"), ("2024-00-05", "MES INVALIDO"), ("0-1-1", "ANO INVALIDO"), ("2024-01-32", "DIA INVALIDO"),
+    ("2024-02-30 10:00", "DIA NAO EXISTE NO MES"), ("2023-2-29", "DIA NAO EXISTE NO MES"), ("2024-01-05 24:00", "HORA INVALIDA"),
+    ("2024-01-05 10:60", "MINUTO INVALIDO"), ("2024-01-05 10:20:61", "SEGUNDO INVALIDO"), ("2024-01-05 10:20:30 1", "TEXTO LONGO DEMAIS"),
+    ("2024-01-05 10:20:303", "TEXTO LONGO DEMAIS"), ("2024-01-05 xx", "TEXTO LONGO DEMAIS"), ("ontem", "CARACTER NAO NUMERICO"),
+    ("", "TEXTO CURTO DEMAIS"), ("2024-01", "TEXTO CURTO DEMAIS"), ("05/01/2024 10:20", "HORA INVALIDA"), (None, None),
+]
+
+
+def test_lenient_dates(spark):
+    both = F.coalesce(F.date_format("x.ts", "yyyy-MM-dd HH:mm:ss"), "x.cause").alias("y")
+    got = spark.createDataFrame([t[:1] for t in TIMES], "t string").withColumn("x", lenient_time(F.col("t"), h.TIME)).select("t", both)
+    assert [tuple(r) for r in got.collect()] == TIMES
+    old = [("05/01/2024 10:20", "2024-01-05 10:20:00"), ("5.1.2024", "2024-01-05 00:00:00"), ("05/01/2024 10:20:30", "TEXTO LONGO DEMAIS"), ("2024-01-05", "MES INVALIDO")]
+    got = spark.createDataFrame([t[:1] for t in old], "t string").withColumn("x", lenient_time(F.col("t"), h.OLD_TIME)).select("t", both)
+    assert [tuple(r) for r in got.collect()] == old
+
+
+def test_a_failed_request_names_its_cause_and_the_others_go_on(spark):
+    ddl = "cd_tiss_demnstrv_retorno long, id long, dt_transacao string, hr_transacao string"
+    req = spark.createDataFrame([(1, 1, "2024-1-5", None), (2, 2, "2024-13-05", "10:00"), (3, 3, None, None), (4, 4, "2024-01-05", "25:00:00")], ddl)
+    failed = d.failed_requests(req)
+    assert values(failed, "id", "ds_causa") == [(2, "MES INVALIDO"), (4, "HORA INVALIDA")]
+    assert values(d.readable_requests(req), "id") == [(1,), (3,)]
+    log = d.error_log(failed.withColumn("cd_tiss_mensagem_log", F.col("id")), AS_OF)
+    assert values(log, "cd_tiss_mensagem", "ds_log") == [(2, f"{d.LOGGED}: MES INVALIDO"), (4, f"{d.LOGGED}: HORA INVALIDA")]
+
+
 def claims(spark, *rows):
     base = dict(nr_protocolo=1, cd_prestador_pedido=7, cd_prestador=7, cd_prestador_principal=7, tp_situacao="AT", cd_guia_externa=None,
                 nr_guia=None, vl_total_pago=None)
