@@ -29,7 +29,7 @@ WITH l AS (
   SELECT doc_id, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line,
     unnest(string_split(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), chr(10))) AS s FROM documents),
 w AS (SELECT doc_id, line, list_sort(list_distinct(list_filter(regexp_split_to_array(s, '{_SPACE}'), lambda x: x <> ''))) AS w FROM l),
-f AS (SELECT w, len(w) AS n, min((doc_id, line)) AS first FROM w WHERE len(w) >= 5 GROUP BY 1),
+f AS (SELECT w, len(w) AS n, min((doc_id, line)) AS first FROM w WHERE len(w) >= 1 GROUP BY 1),
 t AS (SELECT first, n, unnest(w) AS x FROM f),
 p AS (SELECT b.first, a.n AS m, b.n, count(*) AS i FROM t a JOIN t b ON a.x = b.x AND a.first < b.first AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
   GROUP BY a.first, b.first, a.n, b.n),

@@ -297,12 +297,19 @@ def test_quality(docs, empty, spark):
 
 
 def test_certified_level_and_binomial_tail(spark):
-    from math import comb, log
+    from math import comb, lgamma, log
 
     x = spark.createDataFrame([(0.0, 50.0), (3.0, 120.0), (17.0, 400.0)], "k double, n double")
     for k, n, tail in x.select("k", "n", quality.log_binomial_tail(F.col("k"), F.col("n"), 0.1)).collect():
         exact = log(sum(comb(int(n), i) * 0.1**i * 0.9 ** (int(n) - i) for i in range(int(k) + 1)))
         assert abs(tail - exact) < 1e-8
+    # many terms, below, at and above the mean: all of them are summed, in numpy's way
+    x = spark.createDataFrame([(2_990_000.0, 1e8), (3_000_000.0, 1e8), (3_020_000.0, 1e8), (29_999_000_000.0, 1e12)], "k double, n double")
+    for k, n, tail in x.select("k", "n", quality.log_binomial_tail(F.col("k"), F.col("n"), 0.03)).collect():
+        i = np.arange(k, max(k - 4e6, 0), -1)
+        total = 1 + np.exp(np.cumsum(np.log(i / (n - i + 1) * (0.97 / 0.03)))).sum()
+        head = lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(0.03) + (n - k) * log(0.97)
+        assert abs(tail - head - log(total)) < (1e-4 if n < 1e9 else 0.1)  # the head's own rounding
     held = [(i, "a", len(quality.LADDER) if i >= 4 else 6, False) for i in range(500)] + [(1000 + i, "b", 0, False) for i in range(500)]
     judged = spark.createDataFrame(held, "doc_id long, stratum string, strict int, base_failed boolean")
     labels = judged.select("doc_id", F.lit(1).alias("quality"))
