@@ -672,5 +672,5 @@ entry("d5_failed_replies", "f_reply", REQ + """cd_tiss_mensagem_origem:i nr_regi
 entry("d5_all_errors", "j_errors", ERROR)(lambda t: st.statements(t, AS_OF, TENANT)["error"])
 entry("d6_provider_valid", "o_valid", REQ + "sn_prestador_valido:s")(lambda t: a.provider_valid(t.asked, t["provider"]))
 entry("c1_account_name", "o_account_name", "id:i ds_conta:s")(
-    lambda t: c.account_name(t["account_request"], t["ledger_year"], t["ledger"], TENANT)
+    lambda t: c.account_name(t["account_request"], t["chart"], t["closed_month"], t["ledger"], TENANT)
 )

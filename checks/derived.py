@@ -200,11 +200,14 @@ SQL: dict[str, str] = {
         select cd_fatura, case when cd_fatura%2=0 then 'C' else 'D' end as tp_lancamento, 'ADJ' as
         ds_observacao, cast(cd_fatura%97 as decimal(18,2)) as vl_lancamento from fx_invoice where
         cd_fatura%3=0""",
-    "fx_ledger_year": """
+    "fx_chart": """
         select p_partkey%5 as cd_plano, case when p_partkey%4=0 then '1.2.1' else '2.'||cast(p_partkey as
         varchar(20)) end as cd_contabil, p_partkey as cd_reduzido, case when p_partkey%8=0 then null else
-        p_name end as ds_conta, cast(1 as bigint) as cd_multi_empresa, make_date(cast(1995+p_partkey%5 as
-        int),1,1) as dt_ano, '03' as dt_mes from part""",
+        p_name end as ds_conta from part""",
+    "fx_closed_month": """
+        select n_nationkey%5 as cd_plano, cast(case when n_nationkey>=20 then 2 else 1 end as bigint) as
+        cd_multi_empresa, make_date(cast(1995+n_nationkey%5 as int), cast(1+(n_nationkey-n_nationkey%5)/5 as int), 1)
+        as dt_ano, '0'||cast(cast(2+(n_nationkey-n_nationkey%5)/5 as int) as varchar(20)) as dt_mes from nation""",
     "fx_ledger": """
         select p_partkey as cd_reduzido, '2.'||cast(p_partkey as varchar(20)) as cd_contabil, p_type as
         ds_conta, cast(1 as bigint) as cd_multi_empresa from part where p_partkey%3<>0""",

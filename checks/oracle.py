@@ -716,9 +716,10 @@ step("o_account_name", f"""
 select q.id, coalesce(case when y.id is not null then y.ds_conta else l.ds_conta end, 'NAO ENCONTRADO') as ds_conta
 from fx_account_request q
 left join (select q.id, p.ds_conta, row_number() over (partition by q.id order by p.cd_plano, p.cd_reduzido) as rn
-  from fx_account_request q join fx_ledger_year p on p.cd_contabil = '1.2.1'
-    and (p.cd_contabil = q.cd_contabil or p.cd_reduzido = q.cd_reduzido) and p.cd_multi_empresa = {TENANT}
-    and date_trunc('year', p.dt_ano) = date_trunc('year', q.dt_referencia) and p.dt_mes = strftime(q.dt_referencia, '%m')
+  from fx_account_request q join fx_chart p on p.cd_contabil = '1.2.1'
+    and (p.cd_contabil = q.cd_contabil or p.cd_reduzido = q.cd_reduzido)
+  join fx_closed_month m on m.cd_plano = p.cd_plano and m.cd_multi_empresa = {TENANT}
+    and date_trunc('year', m.dt_ano) = date_trunc('year', q.dt_referencia) and m.dt_mes = strftime(q.dt_referencia, '%m')
   ) y on y.id = q.id and y.rn = 1
 left join (select q.id, p.ds_conta, row_number() over (partition by q.id order by p.cd_reduzido) as rn
   from fx_account_request q join fx_ledger p on (p.cd_contabil = q.cd_contabil or p.cd_reduzido = q.cd_reduzido)

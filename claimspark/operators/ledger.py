@@ -11,16 +11,25 @@ FIXED_CODE = "1.2.1"
 NOT_FOUND = "NAO ENCONTRADO"
 
 
-def account_name(requests: DataFrame, ledger_year: DataFrame, ledger: DataFrame, tenant: int,
+def closed_accounts(chart: DataFrame, closed_months: DataFrame, tenant: int, code: str) -> DataFrame:
+    """Accounts of the tenant's charts with the periods (first day of the year, month) that each chart was closed for."""
+    periods = closed_months.filter(F.col("cd_multi_empresa") == tenant).select(
+        "cd_plano", F.trunc("dt_ano", "year").alias("dt_exercicio"), "dt_mes"
+    )
+    # a chart closed twice for a period counts once
+    return chart.filter(F.col("cd_contabil") == code).join(periods.distinct(), "cd_plano")
+
+
+def account_name(requests: DataFrame, chart: DataFrame, closed_months: DataFrame, ledger: DataFrame, tenant: int,
                  fixed_code: str = FIXED_CODE) -> DataFrame:
-    """Account name by code or short code: closed-year chart first, then the current one.
+    """Account name by code or short code: the chart closed for the request's month first, then the current one.
 
-    The closed-year lookup reads one fixed account code only. An account found there
+    The closed chart's lookup reads one fixed account code only. An account found there
     without a name is not looked up again.
     """
     year, month = F.trunc("dt_referencia", "year"), F.date_format("dt_referencia", "MM")
-    closed = ledger_year.filter((F.col("cd_contabil") == fixed_code) & (F.col("cd_multi_empresa") == tenant))
-    closed_key = [F.trunc("dt_ano", "year"), F.col("dt_mes")]
+    closed = closed_accounts(chart, closed_months, tenant, fixed_code)
+    closed_key = [F.col("dt_exercicio"), F.col("dt_mes")]
     in_year = look_up(
         requests,
         closed,

@@ -83,8 +83,8 @@ INPUTS: dict[str, str] = {
     "payment": """cd_pagcon_pag bigint, cd_itcon_pag bigint, dt_pagamento date, tp_pagamento string,
         cd_banco_forn bigint, cd_agencia_forn string, nr_conta_forn string, cd_cheque string""",
     "creddeb": "cd_fatura bigint, tp_lancamento string, ds_observacao string, vl_lancamento decimal(18,2)",
-    "ledger_year": """cd_plano bigint, cd_contabil string, cd_reduzido bigint, ds_conta string,
-        cd_multi_empresa bigint, dt_ano date, dt_mes string""",
+    "chart": "cd_plano bigint, cd_contabil string, cd_reduzido bigint, ds_conta string",
+    "closed_month": "cd_plano bigint, cd_multi_empresa bigint, dt_ano date, dt_mes string",
     "ledger": "cd_reduzido bigint, cd_contabil string, ds_conta string, cd_multi_empresa bigint",
     "account_request": "id bigint, cd_contabil string, cd_reduzido bigint, dt_referencia date",
 }

@@ -221,11 +221,14 @@ def test_bad_period_beats_bad_provider(table):
 
 
 def test_account_found_without_name_is_not_looked_up_again(table):
-    year = table("ledger_year", dict(cd_plano=1, cd_contabil="1.2.1", cd_reduzido=5, cd_multi_empresa=1, dt_ano=date(2023, 1, 1), dt_mes="03"))
+    chart = table("chart", dict(cd_plano=1, cd_contabil="1.2.1", cd_reduzido=5), dict(cd_plano=2, cd_contabil="1.2.1", cd_reduzido=5, ds_conta="OTHER"))
+    # the second chart is closed for another tenant, and in another year
+    months = table("closed_month", *[dict(cd_plano=c, cd_multi_empresa=m, dt_ano=date(y, 6, 1), dt_mes="03") for c, m, y in
+                                     ((1, 1, 2023), (1, 1, 2023), (2, 2, 2023), (2, 1, 2022))])
     now = table("ledger", dict(cd_reduzido=5, cd_contabil="9", ds_conta="NOW", cd_multi_empresa=1))
     ask = table("account_request", dict(id=1, cd_reduzido=5, dt_referencia=date(2023, 3, 9)),
                 dict(id=2, cd_reduzido=5, dt_referencia=date(2023, 4, 9)), dict(id=3, cd_reduzido=6, dt_referencia=date(2023, 4, 9)))
-    assert values(account_name(ask, year, now, 1), "id", "ds_conta") == [(1, "NAO ENCONTRADO"), (2, "NOW"), (3, "NAO ENCONTRADO")]
+    assert values(account_name(ask, chart, months, now, 1), "id", "ds_conta") == [(1, "NAO ENCONTRADO"), (2, "NOW"), (3, "NAO ENCONTRADO")]
 
 
 def test_ids_are_dense_and_ordered(spark):
