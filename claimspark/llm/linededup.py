@@ -1,15 +1,17 @@
 """Line dedup by an exact set-similarity join.
 
 Lines with the same token set are one class, named by its first place (doc_id, row, line).
-Classes meet in the tokens of their prefix: tokens are ordered by rarity, and two sets of
-similarity t share a token among the first n - ceil(t * n) + 1. Length and position rule pairs
-out, and so does the distance of two parity sketches, which is never above the symmetric difference.
-Jaccard on the full sets of what is left decides.
-
-Short lists of a token are compared whole in one pass: each class with the NEAR classes before it.
-Long lists are joined to their earliest classes (a star), so that pairs do not grow with the square
-of a list; classes without an earlier match go on to further centres until all earlier ones were
-tried. A frequent token's list is dealt over several tasks.
+Tokens of a line are ordered by rarity. Two similar sets differ in few tokens, and each of these parts at
+most two neighbours among the shared ones: so among the first tokens there are two that follow one another in
+both sets. Classes meet in these pairs of neighbours in their prefix, of which unrelated lines share few,
+however much text there is; a single rare token is shared by more lines the more there are. Sets too different
+for that at a low similarity meet in the single tokens of the usual prefix. Length and position rule pairs
+out, and so does the distance of two parity sketches, which is never above the symmetric difference. Jaccard on
+the full sets of what is left decides.
+
+Each list is first joined to its earliest class (a star); classes without an earlier match go on to further
+centres until all earlier ones were tried, so that the pairs of a group of alike lines are not formed. The list
+of a frequent token is dealt over several tasks.
 """
 
 from __future__ import annotations
@@ -21,18 +23,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.llm.common import PLACE, by_batches, keep, lists, mix, slices, words_of
+from claimspark.llm.common import PLACE, by_batches, by_bytes, keep, mix, slices, words_of
+from claimspark.session import Run
 
 #: Lines with fewer distinct tokens stay as they are: only blank ones, unless the caller asks for more.
 LEAST = 1
 #: Fixed number of counters for token frequencies; any order of tokens is exact, a good one is fast.
 COUNTERS = 1 << 20
-#: Classes of a list that each class is compared with in the first pass.
-NEAR = 64
-#: Words of a token for which its list gets one more task.
+#: Words of a token for which its lists get one more task.
 SHARE = 1 << 14
-#: Centres of a long list in the first round, and the factor for each further round.
-CENTRES, GROWTH = 256, 16
+#: Centres of a list in the second round, and the factor for each further round.
+CENTRES, GROWTH = 16, 16
+#: A list's low bits number its shares (0: not dealt); a member's low bits are its position there, LATE or more.
+SHARE_BITS, POSITION_BITS = 16, 8
+LATE = (1 << POSITION_BITS) - 1
+#: Classes a task remembers so as not to list a line again.
+SEEN = 1 << 18
 
 
 class Lines:
@@ -80,44 +86,29 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
 
 
-#: ``a`` and ``b`` name the token set; ``prefix`` has 32 bits of each token, ``parts`` the tasks its list is dealt over.
-LINED = "doc_id long, row long, n_lines int, lines array<struct<line: int, a: long, b: long, n: int, sketch: long, prefix: array<int>, parts: array<int>>>"
+#: ``a`` and ``b`` name the token set.
+LINED = "doc_id long, row long, n_lines int, lines array<struct<line: int, a: long, b: long, n: int, sketch: long>>"
 
 
-def _lined(often: np.ndarray, percent: int, least: int):
+def _named(x: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """The names a and b of each line's token set; the low bits of a are free for a position."""
+    a, b = (x.folded(mix(x.tokens * PLACE[i] + PLACE[i + 2]), np.add) for i in (0, 1))
+    return a & np.int64(~LATE), b
+
+
+def _lined(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 x = Lines(part.column("text"))
-                a, b = (x.folded(mix(x.tokens * PLACE[i] + PLACE[i + 2]), np.add) for i in (0, 1))
+                a, b = _named(x)
                 bit = np.uint64(1) << (mix(x.tokens * PLACE[4]) & np.uint64(63))
                 sketch = x.folded(bit, np.bitwise_xor)
-                # the rarest first, and of these the prefix of each line that is long enough
-                rare = often[(x.tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                order = np.lexsort((x.tokens, rare, x.of))
-                # sets so small that one more token is too many are similar to equal sets alone: no prefix
-                joined = (x.sizes >= least) & (100 * x.sizes >= percent * (x.sizes + 1))
-                wanted = np.where(joined, x.sizes - -(-percent * x.sizes // 100) + 1, 0)
-                at = np.arange(len(order)) - (x.ends - x.sizes)[x.of]
-                first = order[at < wanted[x.of]]
-                prefix = (x.tokens[first] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-                dealt = (rare[first] // SHARE + 1).astype(np.int32)
-                stops = np.concatenate(([0], np.cumsum(wanted))).astype(np.int32)
-
                 text = np.repeat(np.arange(len(x.counts)), x.counts)
                 number = np.arange(len(text)) - np.repeat(np.cumsum(x.counts) - x.counts, x.counts)
                 use = np.flatnonzero(x.sizes >= max(least, 1))
-                held = pa.StructArray.from_arrays(
-                    [
-                        pa.array(number[use].astype(np.int32)),
-                        pa.array(a[use]),
-                        pa.array(b[use]),
-                        pa.array(x.sizes[use].astype(np.int32)),
-                        pa.array(sketch[use]),
-                        *(pa.ListArray.from_arrays(pa.array(np.append(stops[use], stops[-1])), pa.array(v)) for v in (prefix, dealt)),
-                    ],
-                    ["line", "a", "b", "n", "sketch", "prefix", "parts"],
-                )
+                held = [number[use].astype(np.int32), a[use], b[use], x.sizes[use].astype(np.int32), sketch[use]]
+                held = pa.StructArray.from_arrays([pa.array(v) for v in held], ["line", "a", "b", "n", "sketch"])
                 per_text = np.concatenate(([0], np.cumsum(np.bincount(text[use], minlength=len(x.counts))))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -132,52 +123,128 @@ def _lined(often: np.ndarray, percent: int, least: int):
     return run
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, row, line, tokens) of the wanted lines of each text."""
+def prefixes(n: int, percent: int) -> tuple[int, int]:
+    """Tokens of a set of n in its prefix of single tokens and in its prefix of neighbours, 0 if there is none.
+
+    A partner of m tokens shares o or more of them and differs in D or fewer. Of the first D + 2 shared tokens two are
+    neighbours in both sets, and they lie within the first D + 2 + n - o. Where o is less than D + 2, one shared token
+    within the first n - o + 1 must do. Which of the two holds depends on both sizes alike.
+    """
+    m = np.arange(-(-percent * n // 100), 100 * n // percent + 1, dtype=np.int64)
+    apart = (n + m) * (100 - percent) // (100 + percent)
+    apart -= (n + m - apart) % 2
+    shared = (n + m - apart) // 2
+    meant = (apart > 0) & (shared <= np.minimum(n, m))
+    near = meant & (shared >= apart + 2)
+    single = n - shared[meant & ~near] + 1
+    pairs = (apart + 2 + n - shared)[near]
+    return int(single.max(initial=0)), int(pairs.max(initial=0))
+
+
+def _listed(often: np.ndarray, percent: int, least: int):
+    """(list, member) of the classes of some texts: one row per single token or pair of neighbours in a prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, tuple[int, int]] = {}
+        seen: set[int] = set()
+        for batch in batches:
+            for part in slices(batch):
+                x = Lines(part.column("text"))
+                a, _ = _named(x)
+                if len(seen) > SEEN:
+                    seen.clear()
+                new = np.zeros(len(a), bool)
+                names = a.tolist()
+                for i in np.flatnonzero(x.sizes >= max(least, 1)).tolist():
+                    if names[i] not in seen:
+                        seen.add(names[i])
+                        new[i] = True
+                sizes, back = np.unique(x.sizes, return_inverse=True)
+                for n in sizes.tolist():
+                    if n not in known:
+                        known[n] = prefixes(n, percent)
+                wanted = np.array([known[n] for n in sizes.tolist()], np.int64).reshape(-1, 2)[back]
+                rare = often[(x.tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                order = np.lexsort((x.tokens, rare, x.of))
+                tokens, rare = x.tokens[order], rare[order]
+                at = np.arange(len(order)) - (x.ends - x.sizes)[x.of]
+                lists, members = [], []
+                for kind in (0, 1):
+                    # the last token of a prefix has no neighbour in it
+                    first = np.flatnonzero(new[x.of] & (at + kind < np.minimum(wanted[x.of, kind], x.sizes[x.of])))
+                    name = mix(tokens[first] * PLACE[5])
+                    if kind:
+                        name = mix(name + tokens[first + 1] * PLACE[6])
+                    own = a[x.of[first]]
+                    # a list is no longer than its first token is frequent, whichever line asks
+                    shares = np.minimum(rare[first].astype(np.int64) // SHARE + 1, (1 << SHARE_BITS) - 1).astype(np.uint64)
+                    share = np.where(shares > 1, mix(own.view(np.uint64) + PLACE[7]) % shares + np.uint64(1), np.uint64(0))
+                    lists.append(name >> np.uint64(SHARE_BITS) << np.uint64(SHARE_BITS) | share)
+                    members.append(own | np.minimum(at[first], LATE))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(lists).view(np.int64)), pa.array(np.concatenate(members))], ["list", "member"]
+                )
+
+    return run
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, row, line, text) of the wanted lines of each text."""
     for batch in batches:
         for part in slices(batch):
-            x = Lines(part.column("text"))
+            parts = [t.split(b"\n") for t in part.column("text").fill_null("").cast(pa.binary()).to_pylist()]
             wanted = part.column("wanted")
             of = np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy())
-            line = wanted.flatten().to_numpy()
-            at = (np.cumsum(x.counts) - x.counts)[of] + line
-            held = [x.tokens[x.ends[i] - x.sizes[i] : x.ends[i]].view(np.int64) for i in at]
+            line = wanted.flatten()
+            found = pa.array([parts[i][j] for i, j in zip(of, line.to_pylist())], pa.binary()).cast(pa.string())
+            of = pa.array(of)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(of)), part.column("row").take(pa.array(of)), pa.array(line), lists(held, pa.int64())],
-                ["doc_id", "row", "line", "tokens"],
+                [part.column("doc_id").take(of), part.column("row").take(of), line, found], ["doc_id", "row", "line", "text"]
             )
 
 
+def _alike(percent: int):
+    """The v of rows (v, su, sv) whose lines have 100 * overlap >= percent * union of their distinct words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v = Lines(batch.column("su")), Lines(batch.column("sv"))
+            of, tokens = np.concatenate((u.of, v.of)), np.concatenate((u.tokens, v.tokens))
+            order = np.lexsort((tokens, of))
+            of, tokens = of[order], tokens[order]
+            twice = of[1:][(of[1:] == of[:-1]) & (tokens[1:] == tokens[:-1])]
+            overlap = np.bincount(twice, minlength=len(batch))
+            found = pa.array(100 * overlap >= percent * (u.sizes + v.sizes - overlap))
+            yield pa.RecordBatch.from_arrays([batch.column("v").filter(found)], ["first"])
+
+    return run
+
+
 def _row(text: str = "text") -> Column:
     """Tells rows with equal ids apart; rows equal in this too are taken as one document."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def _possible(u: Column, v: Column, percent: int) -> Column:
-    """Whether two members (n, pos, sketch) of a token's list may be similar, by length, position and sketch.
+    """Whether two members (n, pos, sketch) of a list may be similar, by length, position and sketch.
 
-    The bound by position holds at the first token that two similar sets share; both are in its list.
+    Shared tokens before that of the list stand before it in both sets, and those behind it behind it in both.
     """
     both, alike = u["n"] + v["n"], F.least(u["n"], v["n"]) * 100 >= F.greatest(u["n"], v["n"]) * percent
-    rest = 1 + F.least(u["n"] - u["pos"] - 1, v["n"] - v["pos"] - 1)
+    most = F.least(u["pos"], v["pos"]) + F.least(u["n"] - u["pos"], v["n"] - v["pos"])
+    placed = (F.greatest(u["pos"], v["pos"]) >= LATE) | (most * (100 + percent) >= both * percent)
     apart = F.bit_count(u["sketch"].bitwiseXOR(v["sketch"]))
-    return alike & (rest * (100 + percent) >= both * percent) & (apart * (100 + percent) <= both * (100 - percent))
+    return alike & placed & (apart * (100 + percent) <= both * (100 - percent))
 
 
-def _later(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
-    """Of (u, v), u the earlier, the v whose sets have 100 * overlap >= percent * union."""
-    pairs = keep(pairs.distinct())
-    ends = pairs.select(F.col("u").alias("p")).unionAll(pairs.select(F.col("v").alias("p"))).distinct().select("p.*")
-    wanted = ends.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_set("line").alias("wanted"))
-    found = source.join(keep(wanted), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
-    sets = by_batches(found.select("doc_id", "row", "text", "wanted"), _tokens, "doc_id long, row long, line int, tokens array<long>")
-    # repeated rows need to be read once
-    sets = keep(sets.dropDuplicates(["doc_id", "row", "line"]).select(F.struct("doc_id", "row", "line").alias("p"), "tokens"))
-    both = pairs.join(sets.select(F.col("p").alias("u"), F.col("tokens").alias("su")), "u")
-    both = both.join(sets.select(F.col("p").alias("v"), F.col("tokens").alias("sv")), "v")
-    both = both.withColumn("i", F.size(F.array_intersect("su", "sv")).cast("long"))
-    union = F.size("su").cast("long") + F.size("sv") - F.col("i")
-    return keep(both.where(F.col("i") * 100 >= union * percent).select(F.col("v").alias("first")).distinct())
+PLACED = "struct<doc_id: long, row: long, line: int>"
+
+
+def _later(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(first) of the v of pairs (u, v), u the earlier, that are similar."""
+    both = pairs.distinct().join(texts.select(F.col("p").alias("u"), F.col("text").alias("su")), "u")
+    both = both.join(texts.select(F.col("p").alias("v"), F.col("text").alias("sv")), "v").select("v", "su", "sv")
+    return by_bytes(both, _alike(percent), f"first {PLACED}").distinct()
 
 
 def line_matches(docs: DataFrame, percent: int = 80, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -187,52 +254,64 @@ def line_matches(docs: DataFrame, percent: int = 80, least: int = LEAST) -> tupl
     line: doc_id, row, line), matched (an earlier line of another class is similar).
     """
     source = docs.select(F.col("doc_id").cast("long"), "text", _row().alias("row"))
-    lined = keep(by_batches(source, _lined(frequencies(source), percent, least), LINED))
-
-    each = lined.select("doc_id", "row", F.explode("lines").alias("l"))
-    place = F.struct("doc_id", "row", F.col("l.line").alias("line"))
-    # size, sketch and prefix of a class are the same wherever they come from
-    same = F.struct(F.col("l.n").alias("n"), F.col("l.sketch").alias("sketch"), F.arrays_zip("l.prefix", "l.parts").alias("prefix"))
-    classes = each.groupBy("l.a", "l.b").agg(F.min(place).alias("first"), F.first(same).alias("c"), F.count("*").alias("copies"))
-    classes = keep(classes.select("a", "b", "first", "c.*", "copies"))
-
-    members = classes.select("first", "n", "sketch", F.posexplode("prefix").alias("pos", "t"))
-    deal = F.pmod(F.xxhash64("first"), F.col("t.parts")).cast("int")
-    members = members.select(F.col("t.prefix").alias("token"), F.col("t.parts").alias("parts"), deal.alias("deal"), "first", F.struct("n", "pos", "sketch").alias("x"))
-    list_ = Window.partitionBy("token", "deal")
-    ordered = list_.orderBy("first")
-    members = members.withColumn("m", F.count("*").over(list_)).where("m > 1 or parts > 1")
-    members = members.withColumn("rank", F.row_number().over(ordered))
-    members = members.withColumn("before", F.collect_list(F.struct("first", "x")).over(ordered.rowsBetween(-NEAR, -1)))
-    fits = F.filter("before", lambda u: _possible(u["x"], F.col("x"), percent))
-    members = members.select("token", "first", "x", "rank", ((F.col("m") > NEAR + 1) | (F.col("parts") > 1)).alias("long"), F.transform(fits, lambda u: u["first"]).alias("near"))
-    members = keep(members.where(F.col("long") | (F.size("near") > 0)))
-
-    matched = _later(members.select(F.explode("near").alias("u"), F.col("first").alias("v")), source, percent)
-    busy = members.where("long").select("token", "first", "x", "rank")
-    low, high = 0, CENTRES
+    lined = keep(by_batches(source, _lined(least), LINED))
+    with Run(docs.sparkSession) as run:
+        each = lined.select("doc_id", "row", F.explode("lines").alias("l"))
+        place = F.struct("doc_id", "row", F.col("l.line").alias("line"))
+        # size and sketch of a class are the same wherever they come from
+        same = F.struct(F.col("l.n").alias("n"), F.col("l.sketch").alias("sketch"))
+        classes = each.groupBy("l.a", "l.b").agg(F.min(place).alias("first"), F.first(same).alias("c"), F.count("*").alias("copies"))
+        classes = run.keep(classes.select("a", "b", "first", "c.*", "copies"))
+        matched = _matched(run, source, classes, percent, least)
+        out = classes.join(matched.withColumn("matched", F.lit(True)), "first", "left")
+        out = out.select("a", "b", "first", F.coalesce("matched", F.lit(False)).alias("matched"), "copies").where("matched or copies > 1")
+        out = keep(out)
+    names = F.transform("lines", lambda x: F.struct(x["line"], x["a"], x["b"]))
+    return lined.select("doc_id", "row", "n_lines", names.alias("lines")), out
+
+
+def _matched(run: Run, source: DataFrame, classes: DataFrame, percent: int, least: int) -> DataFrame:
+    """(first) of the classes with an earlier similar one."""
+    rows = by_batches(source.select("text"), _listed(frequencies(source), percent, least), "list long, member long")
+    whole, name = Window.partitionBy("list"), F.col("member").bitwiseAND(F.lit(~LATE))
+    rows = rows.withColumns({"least": F.min(name).over(whole), "most": F.max(name).over(whole)})
+    dealt = F.col("list").bitwiseAND(F.lit((1 << SHARE_BITS) - 1)) > 0
+    rows = run.keep(rows.where((F.col("least") < F.col("most")) | dealt).groupBy("list", "member").agg(name.alias("a")))
+
+    x = F.struct("n", F.col("member").bitwiseAND(F.lit(LATE)).cast("int").alias("pos"), "sketch").alias("x")
+    members = rows.join(classes.select("a", "first", "n", "sketch"), "a").select("list", "first", x)
+    ordered = whole.orderBy("first")
+    centre = F.first(F.struct("first", "x")).over(ordered)
+    members = members.withColumns({"rank": F.row_number().over(ordered), "centre": centre, "dealt": dealt})
+    near = (F.col("rank") > 1) & _possible(F.col("centre.x"), F.col("x"), percent)
+    members = members.withColumn("near", F.when(near, F.col("centre.first"))).drop("centre")
+    token = F.shiftright("list", SHARE_BITS).alias("token")
+    members = run.keep(members.select(token, "list", "first", "x", "rank", "dealt", "near"))
+
+    ends = members.select(F.col("first").alias("p")).distinct().select("p.*")
+    wanted = ends.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_set("line").alias("wanted"))
+    found = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+    texts = by_batches(found.select("doc_id", "row", "text", "wanted"), _lines, "doc_id long, row long, line int, text string")
+    # repeated rows need to be read once
+    texts = run.keep(texts.dropDuplicates(["doc_id", "row", "line"]).select(F.struct("doc_id", "row", "line").alias("p"), "text"))
+
+    matched = run.keep(_later(members.where("near is not null").select(F.col("near").alias("u"), F.col("first").alias("v")), texts, percent))
+    low, high = 1, CENTRES
     while True:
-        open_ = busy.join(matched, "first", "left_anti")
-        if low:  # only lists with centres left
-            more = keep(busy.where(F.col("rank") > low).select("token").distinct())
-            open_ = open_.join(more, "token", "left_semi")
+        open_ = members.join(matched, "first", "left_anti")
         # lists with a class that has no match and stands behind a centre not yet tried
-        last = keep(open_.groupBy("token").agg(F.max("first").alias("last")))
-        centres = busy.where((F.col("rank") > low) & (F.col("rank") <= high)).join(last, "token").where(F.col("first") < F.col("last"))
-        centres = keep(centres.select("token", F.col("first").alias("u"), F.col("x").alias("xu")))
+        last = open_.groupBy("token").agg(F.max("first").alias("last"))
+        # the shares of a dealt list have not met yet in the second round
+        tried = F.when(F.col("dealt") & F.lit(low == 1), 0).otherwise(low)
+        centres = members.where((F.col("rank") > tried) & (F.col("rank") <= high)).join(last, "token").where(F.col("first") < F.col("last"))
+        centres = run.keep(centres.select("token", F.col("list").alias("lu"), F.col("first").alias("u"), F.col("x").alias("xu"), F.col("rank").alias("at")))
         if centres.isEmpty():
-            break
-        one, other = open_.alias("v"), centres.alias("u")
-        meet = (F.col("v.token") == F.col("u.token")) & (F.col("u.u") < F.col("v.first")) & _possible(F.col("u.xu"), F.col("v.x"), percent)
-        pairs = one.join(other, meet).select("u.u", F.col("v.first").alias("v"))
-        matched = keep(matched.unionAll(_later(pairs, source, percent)))
+            return matched
+        meet = (F.col("u") < F.col("first")) & _possible(F.col("xu"), F.col("x"), percent) & ((F.col("at") > 1) | (F.col("list") != F.col("lu")))
+        pairs = open_.join(centres, "token").where(meet).select("u", F.col("first").alias("v"))
+        matched = run.keep(matched.unionAll(_later(run.keep(pairs.distinct()), texts, percent)))
         low, high = high, high * GROWTH
 
-    out = classes.join(matched.distinct().withColumn("matched", F.lit(True)), "first", "left")
-    out = out.select("a", "b", "first", F.coalesce("matched", F.lit(False)).alias("matched"), "copies").where("matched or copies > 1")
-    names = F.transform("lines", lambda x: F.struct(x["line"], x["a"], x["b"]))
-    return lined.select("doc_id", "row", "n_lines", names.alias("lines")), keep(out)
-
 
 def repeated_lines(docs: DataFrame, percent: int = 80, least: int = LEAST) -> DataFrame:
     """(doc_id, row, n_lines, n_removed, removed) for each row of docs (doc_id, text).

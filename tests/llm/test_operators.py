@@ -346,9 +346,28 @@ def test_line_dedup_of_short_lines(spark):
     assert {r["doc_id"]: r["removed"] for r in got.collect()} == {0: [], 1: [0, 1, 4], 2: [0, 1, 2, 5]}
 
 
+def test_similar_sets_meet_in_their_prefixes():
+    """Random pairs of similar sets, few and many tokens, several similarities: each shares a token or two neighbours."""
+    rng, met = np.random.default_rng(3), 0
+    for percent in (30, 50, 80, 90):
+        for _ in range(4000):
+            shared, left, right = (int(rng.integers(0, most)) for most in (40, 8, 8))
+            places = rng.permutation(shared + left + right)
+            u, v = set(places[: shared + left].tolist()), set(places[:shared].tolist()) | set(places[shared + left :].tolist())
+            if not u or not v or u == v or 100 * len(u & v) < percent * len(u | v):
+                continue
+            met += 1
+            single, pairs = [], []
+            for own in (sorted(u), sorted(v)):
+                one, two = linededup.prefixes(len(own), percent)
+                single.append(set(own[:one]))
+                pairs.append(set(zip(own[:two], own[1:two])))
+            assert single[0] & single[1] or pairs[0] & pairs[1], (percent, u, v)
+    assert met > 3000
+
+
 def test_line_dedup_of_long_lists(spark, monkeypatch):
     """Lists longer than one pass, dealt over tasks, with chains of near lines: equal to all pairs by hand."""
-    monkeypatch.setattr(linededup, "NEAR", 2)
     monkeypatch.setattr(linededup, "SHARE", 16)
     monkeypatch.setattr(linededup, "CENTRES", 2)
     lines = []
