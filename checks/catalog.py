@@ -26,6 +26,7 @@ from claimspark.plans import reimbursement as job
 from claimspark.plans import statements as st
 from claimspark.plans import storage as store
 from claimspark.plans.headers import resolved_headers, validate_headers
+from claimspark.schemas import PROCEDURE_TABLES
 from claimspark.session import shared_dir, staged
 from claimspark.sources import tables as s
 from claimspark.sources.keyed import KeyedTable
@@ -78,7 +79,7 @@ class Frames(Derived):
 
     @cached_property
     def planned(self) -> DataFrame:
-        return h.check_tenant(h.resolve_plan(h.check_version(self.read), self["plan"]))
+        return h.check_tenant(h.resolve_plan(h.check_version(self.read), self["insurer"], self["company"]))
 
     @cached_property
     def provided(self) -> DataFrame:
@@ -87,12 +88,13 @@ class Frames(Derived):
     @cached_property
     def resolved(self) -> DataFrame:
         return staged(resolved_headers(
-            self["message"], self["plan"], self["provider"], self["termination"], self["config"], AS_OF, TENANT
+            self["message"], self["insurer"], self["company"], self["provider"], self["termination"], self["config"], AS_OF, TENANT
         ))
 
     def matched(self, clean: bool = True) -> DataFrame:
         return h.match_credentials(
-            self.resolved, self["provider"], self["address"], self["authoriser"], self["config"], TENANT, clean
+            self.resolved, self["provider"], self["address"], self["address_authoriser"], self["authoriser"], self["config"],
+            TENANT, clean
         )
 
     # analysis, on all requests of the tenant
@@ -436,7 +438,7 @@ entry("h2_check_version", "h_version", "id:i cd_versao_lida:s g_versao_cd:s g_ve
     lambda t: h.check_version(t.read)
 )
 entry("h3_resolve_plan", "h_plan", """id:i nr_registro_ans:i cd_multi_empresa:i nr_cnpj_operadora:s ds_operadora:s
-    g_operadora_cd:s g_operadora_ds:s""")(lambda t: h.resolve_plan(h.check_version(t.read), t["plan"]))
+    g_operadora_cd:s g_operadora_ds:s""")(lambda t: h.resolve_plan(h.check_version(t.read), t["insurer"], t["company"]))
 entry("h4_check_tenant", "h_plan", "id:i plano_achado:b cd_multi_empresa:i g_empresa_cd:s g_empresa_ds:s")(
     lambda t: t.planned
 )
@@ -461,7 +463,8 @@ VERDICT = """id:i cd_prestador_cabecalho:i nr_registro_ans:i cd_multi_empresa:i
     cd_glosa:s ds_glosa:s"""
 entry("h12_header_verdict", "h_verdict", VERDICT)(
     lambda t: validate_headers(
-        t["message"], t["plan"], t["provider"], t["termination"], t["address"], t["authoriser"], t["config"], AS_OF, TENANT
+        t["message"], t["insurer"], t["company"], t["provider"], t["termination"], t["address"], t["address_authoriser"],
+        t["authoriser"], t["config"], AS_OF, TENANT
     )
 )
 
@@ -497,7 +500,9 @@ entry("a9_payee", "o_payee", "cd_conta_medica:i cd_lancamento:i cd_prestador_pag
 PROC = GUIDE + "cd_lancamento:i dt_realizado:t cd_procedimento:i ds_procedimento:s cd_motivo:i cd_atividade_medica:i "
 VALUES = "vl_informado:m vl_liberado:m vl_glosa:m qt_executada:m"
 entry("a10_guide_procedures", "o_proc", PROC + VALUES)(lambda t: t.procs)
-entry("a11_procedure_table", "o_proct", PROC + "cd_tipo_tabela:s")(lambda t: a.procedure_table(t.procs, t["proctable"]))
+entry("a11_procedure_table", "o_proct", PROC + "cd_tipo_tabela:s")(
+    lambda t: a.procedure_table(t.procs, {c: t[f"proctable_{c}"] for c in PROCEDURE_TABLES})
+)
 entry("a12_denial_reason", "o_reason", PROC + "cd_motivo_glosa:s ds_motivo_glosa:s vl_glosa:m")(
     lambda t: a.denial_reason(t.procs, t["reason"])
 )

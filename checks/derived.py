@@ -93,22 +93,27 @@ SQL: dict[str, str] = {
         select s_suppkey*10 as cd_prestador_endereco, s_suppkey as cd_prestador, 'S' as sn_principal, case
         when s_suppkey%6=0 then null else cast(2000000+s_suppkey as varchar(20)) end as cd_cnes from
         supplier union all select s_suppkey*10+1, s_suppkey, 'N', null from supplier""",
+    "fx_address_authoriser": """
+        select cd_prestador_endereco, cd_prestador_endereco+7 as cd_autorizador from fx_address""",
     "fx_authoriser": """
-        select cd_prestador_endereco, cd_prestador_endereco+7 as cd_autorizador, 'k'||cast(cd_prestador as
-        varchar(20)) as ds_senha from fx_address""",
-    "fx_plan": """
+        select cd_prestador_endereco+7 as cd_autorizador, 'k'||cast(cd_prestador as varchar(20)) as ds_senha
+        from fx_address""",
+    "fx_insurer": """
         select cast(r_regionkey+1 as bigint) as cd_multi_empresa, cast(300000+r_regionkey as bigint) as
-        nr_ans, cast(40000000000+r_regionkey as bigint) as cd_cgc, r_name as ds_multi_empresa from region""",
+        nr_ans from region""",
+    "fx_company": """
+        select cast(r_regionkey+1 as bigint) as cd_multi_empresa, cast(40000000000+r_regionkey as bigint) as
+        cd_cgc, r_name as ds_multi_empresa from region""",
     "fx_config": """
         select 'CONTMED_FOLHA_PGTO' as chave, cd_multi_empresa, case when cd_multi_empresa=1 then 'S' else
-        'N' end as valor from fx_plan union all select 'WEBSERVICE_SENHA_MD5' as chave, cd_multi_empresa,
-        'N' as valor from fx_plan union all select 'VERSAO_TISS' as chave, cd_multi_empresa, '3.05.01' as
-        valor from fx_plan union all select 'TISS_LOGIN_UNIMED' as chave, cd_multi_empresa, '900' as valor
-        from fx_plan union all select 'TISS_SENHA_UNIMED' as chave, cd_multi_empresa, 'k900' as valor from
-        fx_plan union all select 'WEBSERVICE_DEMONST_RETORNO' as chave, cd_multi_empresa, case when
-        cd_multi_empresa=5 then 'N' else 'S' end as valor from fx_plan union all select
+        'N' end as valor from fx_insurer union all select 'WEBSERVICE_SENHA_MD5' as chave, cd_multi_empresa,
+        'N' as valor from fx_insurer union all select 'VERSAO_TISS' as chave, cd_multi_empresa, '3.05.01' as
+        valor from fx_insurer union all select 'TISS_LOGIN_UNIMED' as chave, cd_multi_empresa, '900' as valor
+        from fx_insurer union all select 'TISS_SENHA_UNIMED' as chave, cd_multi_empresa, 'k900' as valor from
+        fx_insurer union all select 'WEBSERVICE_DEMONST_RETORNO' as chave, cd_multi_empresa, case when
+        cd_multi_empresa=5 then 'N' else 'S' end as valor from fx_insurer union all select
         'WEBSERVICE_VALIDA_LOGIN_SENHA' as chave, cd_multi_empresa, case when cd_multi_empresa=5 then 'N'
-        else 'S' end as valor from fx_plan""",
+        else 'S' end as valor from fx_insurer""",
     "fx_message": """
         select event_id as id, case event_id%8 when 0 then '9.99.99' when 1 then '2.02.03' when 2 then
         '2.01.03' when 3 then '3.01.00' else '3.05.00' end as cd_versao, case when event_id%11=0 then
@@ -170,10 +175,15 @@ SQL: dict[str, str] = {
         select distinct cd_motivo, 'REASON '||cast(cd_motivo as varchar(20)) as ds_motivo, case when
         cd_motivo%2=0 then cast(1700+cd_motivo as varchar(20)) end as cd_tiss from fx_claim where cd_motivo
         is not null and cd_motivo<>7""",
-    "fx_proctable": """
-        select case p_size%5 when 0 then '18' when 1 then '19' when 2 then '20' else '22' end as cd_tabela,
-        p_partkey as cd_procedimento from part where p_partkey%4<>0 union all select '18', p_partkey from
-        part where p_partkey%10=1""",
+    "fx_proctable_18": """
+        select p_partkey as cd_procedimento from part where p_partkey%4<>0 and p_size%5=0 union all select
+        p_partkey from part where p_partkey%10=1""",
+    "fx_proctable_19": """
+        select p_partkey as cd_procedimento from part where p_partkey%4<>0 and p_size%5=1""",
+    "fx_proctable_20": """
+        select p_partkey as cd_procedimento from part where p_partkey%4<>0 and p_size%5=2""",
+    "fx_proctable_22": """
+        select p_partkey as cd_procedimento from part where p_partkey%4<>0 and p_size%5>2""",
     "fx_transfer": """
         select distinct prov*1000000+ym as cd_repasse_prestador, prov*1000000+ym as cd_fatura, prov as
         cd_prestador, prov*10000+cast(floor(ym/100) as bigint) as cd_con_pag, case when prov%5=0 then

@@ -249,10 +249,11 @@ select m.*, x.cd_multi_empresa, x.nr_ans as nr_registro_ans, lpad(cast(x.cd_cgc
   {verdict("g_empresa", "x.id is not null and x.cd_multi_empresa is null", "5013",
            "'CODIGO MULTI_EMPRESA NAO CONFIGURADO. ENTRE EM CONTATO COM A OPERADORA'")}
 from {p}version m
-left join (select m.id, l.*, row_number() over (partition by m.id order by l.cd_multi_empresa) as rn
-  from {p}version m join fx_plan l on l.nr_ans = try_cast(m.nr_registro_destino as bigint)
-    or l.cd_cgc = try_cast(m.nr_cnpj_destino as bigint)
-  where m.g_data_cd is null and m.g_versao_cd is null) x on x.id = m.id and x.rn = 1""")
+left join (select m.id, l.cd_multi_empresa, l.nr_ans, k.cd_cgc, k.ds_multi_empresa,
+    row_number() over (partition by m.id order by l.cd_multi_empresa) as rn
+  from {p}version m, fx_insurer l, fx_company k
+  where m.g_data_cd is null and m.g_versao_cd is null and l.cd_multi_empresa = k.cd_multi_empresa
+    and (l.nr_ans = try_cast(m.nr_registro_destino as bigint) or k.cd_cgc = try_cast(m.nr_cnpj_destino as bigint))) x on x.id = m.id and x.rn = 1""")
     code = "cast(try_cast(m.cd_prestador_enviado as hugeint) as varchar)"
     step(f"{p}provider", f"""
 select m.*, least(coalesce(x.n, 0), 2) as nr_prestadores, x.cd_prestador as cd_prestador_cabecalho,
@@ -285,7 +286,8 @@ left join (select cd_prestador, max(dt_desligamento) as dt_desligamento from fx_
         step(f"{p}{name}", f"""
 select m.*, coalesce(m.{checked} and m.nr_ip_remetente <> 'MV'
     and coalesce({cfg('WEBSERVICE_VALIDA_LOGIN_SENHA', own)}, 'N') = 'S', false) as sn_exige_senha,
-  case when exists (select 1 from fx_address e join fx_authoriser a on a.cd_prestador_endereco = e.cd_prestador_endereco
+  case when exists (select 1 from fx_address e join fx_address_authoriser b on b.cd_prestador_endereco = e.cd_prestador_endereco
+      join fx_authoriser a on a.cd_autorizador = b.cd_autorizador
       join fx_provider q on q.cd_prestador = e.cd_prestador
     where e.cd_prestador = try_cast({clean} as bigint) and {secret} = m.ds_senha_enviada) then 'S' else 'N' end
     as sn_senha_prestador,
@@ -453,8 +455,9 @@ select k.nr_protocolo, k.cd_prestador, k.cd_guia_externa, k.nr_guia, c.cd_lancam
 from {p}gkey k join {p}pc c on c.nr_protocolo = k.nr_protocolo and c.pedido = k.cd_prestador and c.pago_a = k.cd_prestador
   and (c.nr_guia = k.nr_guia or c.cd_guia_externa = k.cd_guia_externa)
 where c.tp_situacao not in ('NA', 'GA') group by all""")
+    tables = " union ".join(f"select '{c}' as tabela, cd_procedimento from fx_proctable_{c}" for c in ("18", "19", "20", "22"))
     step(f"{p}proct", f"""
-select q.*, coalesce((select min(b.cd_tabela) from fx_proctable b where b.cd_procedimento = q.cd_procedimento), '00')
+select q.*, coalesce((select min(b.tabela) from ({tables}) b where b.cd_procedimento = q.cd_procedimento), '00')
   as cd_tipo_tabela from {p}proc q""")
     step(f"{p}reason", f"""
 select q.*, case when r.cd_motivo is not null then coalesce(r.cd_tiss, 'TODO_CD_TISS') end as cd_motivo_glosa,

@@ -6,7 +6,9 @@ ask for them, so many requests for one protocol do not repeat the work.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -393,9 +395,10 @@ def guide_procedures(keys: DataFrame, rows: DataFrame, share: int = SHARE) -> Da
     return both.groupBy(*GUIDE, *PROCEDURE).agg(*[money(F.sum(v)).alias(v) for v in sums])
 
 
-def procedure_table(procs: DataFrame, tables: DataFrame) -> DataFrame:
-    """Table code of a procedure: the smallest listed one, else '00'."""
-    first = tables.groupBy("cd_procedimento").agg(F.min("cd_tabela").alias("_tabela"))
+def procedure_table(procs: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Table code of a procedure: the smallest of the tables (by code) that list it, else '00'."""
+    listed = reduce(DataFrame.unionAll, (t.select("cd_procedimento", F.lit(code).alias("cd_tabela")) for code, t in tables.items()))
+    first = listed.groupBy("cd_procedimento").agg(F.min("cd_tabela").alias("_tabela"))
     return (
         procs.join(first, "cd_procedimento", "left")
         .withColumn("cd_tipo_tabela", F.coalesce("_tabela", F.lit(NO_TABLE)))

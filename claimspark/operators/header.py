@@ -82,11 +82,13 @@ def check_version(df: DataFrame) -> DataFrame:
     return df.withColumn("g_versao", verdict(~F.col("cd_versao_lida").isin(VERSIONS), "5013", BAD_VERSION))
 
 
-def resolve_plan(df: DataFrame, plans: DataFrame) -> DataFrame:
+def resolve_plan(df: DataFrame, insurers: DataFrame, companies: DataFrame) -> DataFrame:
     """Operator by registry number or company number; the smallest tenant if both hit.
 
-    A message that failed on its date or version is not looked up.
+    An operator has an insurer row and a company row of the same tenant; one without the other is
+    not found. A message that failed on its date or version is not looked up.
     """
+    plans = insurers.join(companies, "cd_multi_empresa")
     reached = F.col("g_data").isNull() & F.col("g_versao").isNull()
     row = F.struct("cd_multi_empresa", "nr_ans", "cd_cgc", "ds_multi_empresa")
     rules = [
@@ -180,10 +182,11 @@ def needs_credentials(df: DataFrame, cfg: DataFrame, tenant: int) -> DataFrame:
     return asked.withColumn("sn_exige_senha", F.coalesce(need, F.lit(False))).drop("_tenant", "_check")
 
 
-def match_credentials(logins: DataFrame, providers: DataFrame, addresses: DataFrame, authorisers: DataFrame,
-                      cfg: DataFrame, tenant: int = 1, clean_login: bool = True) -> DataFrame:
+def match_credentials(logins: DataFrame, providers: DataFrame, addresses: DataFrame, links: DataFrame,
+                      authorisers: DataFrame, cfg: DataFrame, tenant: int = 1, clean_login: bool = True) -> DataFrame:
     """Whether any secret stored for the provider equals the one sent, plain or hashed.
 
+    ``links`` names the authorisers of each address.
     The secret is part of the join key, so a provider with many authorisers is still
     one lookup. The result keeps no secret, only ``sn_senha_prestador``.
     ``clean_login=False`` is the earlier rule, where the login must be a number.
@@ -191,7 +194,8 @@ def match_credentials(logins: DataFrame, providers: DataFrame, addresses: DataFr
     stored = (
         providers.select("cd_prestador")
         .join(addresses.select("cd_prestador", "cd_prestador_endereco"), "cd_prestador")
-        .join(authorisers.select("cd_prestador_endereco", "ds_senha"), "cd_prestador_endereco")
+        .join(links.select("cd_prestador_endereco", "cd_autorizador"), "cd_prestador_endereco")
+        .join(authorisers.select("cd_autorizador", "ds_senha"), "cd_autorizador")
         .filter(F.col("ds_senha").isNotNull())
     )
     kinds = F.explode(

@@ -15,6 +15,7 @@ from claimspark.operators import analysis as a
 from claimspark.operators import dispatch as d
 from claimspark.operators import payment as p
 from claimspark.plans.headers import validate_headers
+from claimspark.schemas import PROCEDURE_TABLES
 from claimspark.session import staged
 from claimspark.sources.keys import assign_ids
 
@@ -25,8 +26,8 @@ Stage = Callable[[DataFrame], DataFrame]
 def judged_requests(t: Tables, as_of: date, tenant: int, fix_network_login: bool = False) -> DataFrame:
     """Readable requests with their header verdict, route and reply provider."""
     verdicts = validate_headers(
-        t["message"], t["plan"], t["provider"], t["termination"], t["address"], t["authoriser"], t["config"],
-        as_of, tenant, fix_network_login,
+        t["message"], t["insurer"], t["company"], t["provider"], t["termination"], t["address"], t["address_authoriser"],
+        t["authoriser"], t["config"], as_of, tenant, fix_network_login,
     )
     read = d.readable_requests(a.requests(t["message"], t["request"])).join(verdicts, "id")
     return d.provider_fallback(d.route(d.service_gate(read, t["config"])))
@@ -45,7 +46,7 @@ def analysis_frames(req: DataFrame, t: Tables, stage: Stage = staged) -> dict[st
     rows = stage(a.protocol_claims(protocols, t["claim"], t["lot"], t["invoice"]))
     totals = stage(a.protocol_totals(protocols, rows, t["denial"]))
     lines = stage(a.guide_totals(rows, t["guide"], t["member"], t["provider"]))
-    procs = a.procedure_table(a.guide_procedures(lines, rows), t["proctable"])
+    procs = a.procedure_table(a.guide_procedures(lines, rows), {c: t[f"proctable_{c}"] for c in PROCEDURE_TABLES})
     return {
         "heads": a.statement_totals(fine, totals), "totals": totals, "lines": lines, "procs": procs, "error": a.error_rows(judged),
     }

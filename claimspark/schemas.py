@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Codes of the procedure tables, one table each: fixed values.
+PROCEDURE_TABLES = ("18", "19", "20", "22")
+
 # Columns of each table, in table order: fixed values.
 INPUTS: dict[str, str] = {
     "notice": """cd_ressarcimento_sus bigint, ds_oficio string, dt_oficio date, vl_oficio decimal(18,2),
@@ -47,8 +50,10 @@ INPUTS: dict[str, str] = {
         cd_multi_empresa bigint""",
     "termination": "cd_prestador bigint, dt_desligamento date, dt_reativacao date",
     "address": "cd_prestador_endereco bigint, cd_prestador bigint, sn_principal string, cd_cnes string",
-    "authoriser": "cd_prestador_endereco bigint, cd_autorizador bigint, ds_senha string",
-    "plan": "cd_multi_empresa bigint, nr_ans bigint, cd_cgc bigint, ds_multi_empresa string",
+    "address_authoriser": "cd_prestador_endereco bigint, cd_autorizador bigint",
+    "authoriser": "cd_autorizador bigint, ds_senha string",
+    "insurer": "cd_multi_empresa bigint, nr_ans bigint",
+    "company": "cd_multi_empresa bigint, cd_cgc bigint, ds_multi_empresa string",
     "config": "chave string, cd_multi_empresa bigint, valor string",
     "message": """id bigint, cd_versao string, nr_registro_ans_destino string, nr_cnpj_pagador_destino string,
         cd_prestador_operadora string, nr_cnpj_prestador_operadora string, nr_cpf_prestador_operadora string,
@@ -74,7 +79,7 @@ INPUTS: dict[str, str] = {
     "guide": "nr_guia bigint, cd_matricula bigint, sn_atendimento_recem_nato string",
     "batch_guide": "cd_protocolo_ctamed bigint, vl_total_procedimento string",
     "reason": "cd_motivo bigint, ds_motivo string, cd_tiss string",
-    "proctable": "cd_tabela string, cd_procedimento bigint",
+    **{f"proctable_{code}": "cd_procedimento bigint" for code in PROCEDURE_TABLES},
     "transfer": """cd_repasse_prestador bigint, cd_fatura bigint, cd_prestador bigint, cd_con_pag bigint,
         cd_pagamento_prestador bigint""",
     "ownpay": "cd_pagamento_prestador bigint, dt_competencia date",

@@ -30,7 +30,8 @@ def message(i, **kw):
 @pytest.fixture(scope="module")
 def registry(table):
     return dict(
-        plans=table("plan", dict(cd_multi_empresa=1, nr_ans=300, cd_cgc=44, ds_multi_empresa="OP")),
+        insurers=table("insurer", dict(cd_multi_empresa=1, nr_ans=300), dict(cd_multi_empresa=2, nr_ans=301)),
+        companies=table("company", dict(cd_multi_empresa=1, cd_cgc=44, ds_multi_empresa="OP"), dict(cd_multi_empresa=3, cd_cgc=45)),
         providers=table(
             "provider", dict(cd_prestador=7, nr_cpf_cgc=111, tp_situacao="A", cd_multi_empresa=1),
             dict(cd_prestador=8, cd_interno="9", tp_situacao="I", cd_multi_empresa=1),
@@ -45,7 +46,8 @@ def registry(table):
 def secrets(table):
     return dict(
         addresses=table("address", dict(cd_prestador_endereco=70, cd_prestador=7)),
-        authorisers=table("authoriser", dict(cd_prestador_endereco=70, ds_senha="k7"), dict(cd_prestador_endereco=70, ds_senha="x")),
+        links=table("address_authoriser", *(dict(cd_prestador_endereco=70, cd_autorizador=i) for i in (1, 2, 4))),
+        authorisers=table("authoriser", *(dict(cd_autorizador=i, ds_senha=x) for i, x in ((1, "k7"), (2, "x"), (3, "no")))),
         cfg=table("config", dict(chave="WEBSERVICE_VALIDA_LOGIN_SENHA", cd_multi_empresa=1, valor="S"),
                   dict(chave="TISS_LOGIN_UNIMED", cd_multi_empresa=1, valor="900"),
                   dict(chave="TISS_SENHA_UNIMED", cd_multi_empresa=1, valor="k900")),
@@ -61,12 +63,13 @@ def test_first_failing_rule_wins(table, registry, secrets):
         message(11, cd_versao="2.01.03"), message(12, cd_versao="2.01.03", dt_transacao="05/01/2024", hr_transacao="10:20"),
         message(13, cd_versao=None), message(14, ds_login_prestador="900", ds_senha_prestador="k900"),
         message(15, dt_transacao=None, hr_transacao=None), message(16, nr_registro_ans_destino="x", nr_cnpj_pagador_destino="44"),
+        message(17, nr_registro_ans_destino="301"), message(18, nr_registro_ans_destino="x", nr_cnpj_pagador_destino="45"),
     )
     got = {m.id: (m.cd_glosa, m.cd_prestador_cabecalho) for m in validate_headers(msgs, **registry, **secrets, as_of=AS_OF).collect()}
     assert got == {
         1: (None, 7), 2: ("5013", 7), 3: ("5013", None), 4: ("5004", 7), 5: ("5004", 7), 6: ("1203", None), 7: ("1203", 9),
         8: ("1203", 10), 9: ("5005", 7), 10: (None, 7), 11: ("5013", None), 12: (None, 7), 13: (None, 7), 14: ("5005", 7),
-        15: (None, 7), 16: (None, 7),
+        15: (None, 7), 16: (None, 7), 17: ("5004", 7), 18: ("5004", 7),
     }
     fixed = validate_headers(msgs, **registry, **secrets, as_of=AS_OF, fix_network_login=True)
     assert fixed.filter("id = 14").first().cd_glosa is None
@@ -78,10 +81,10 @@ def test_hashed_secret_and_earlier_rule(table, registry, secrets):
     msgs = table("message", message(1), message(2), message(3, ds_login_prestador="7", ds_senha_prestador="x"))
     real = msgs.withColumn("ds_senha_prestador", F.when(F.col("id") == 1, F.md5(F.lit("k7"))).otherwise(F.col("ds_senha_prestador")))
     rows = resolved_headers(real, **registry, cfg=hashed, as_of=AS_OF, tenant=1)
-    got = h.match_credentials(rows, registry["providers"], secrets["addresses"], secrets["authorisers"], hashed)
+    got = h.match_credentials(rows, registry["providers"], secrets["addresses"], secrets["links"], secrets["authorisers"], hashed)
     assert values(got, "id", "sn_senha_prestador") == [(1, "S"), (2, "N"), (3, "N")]
     plain = resolved_headers(msgs, **registry, cfg=secrets["cfg"], as_of=AS_OF, tenant=1)
-    new, old = (h.match_credentials(plain, registry["providers"], secrets["addresses"], secrets["authorisers"],
+    new, old = (h.match_credentials(plain, registry["providers"], secrets["addresses"], secrets["links"], secrets["authorisers"],
                                     secrets["cfg"], clean_login=c) for c in (True, False))
     assert values(new, "id", "sn_senha_prestador") == [(1, "S"), (2, "S"), (3, "S")]
     assert values(old, "id", "sn_senha_prestador") == [(1, "N"), (2, "N"), (3, "S")]
