@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,25 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Executions in this block drop their shuffle files when they end, not when the driver collects garbage.
+
+    For writes of frames that are read back: nothing reads those files any more. An executor lost on the way
+    still has its stages run again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write a frame used by several outputs to the shared folder and read it back.
 
@@ -62,7 +83,8 @@ def staged(df: DataFrame) -> DataFrame:
     column pruning.
     """
     path = f"{shared_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -79,7 +101,8 @@ class Run:
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = f"{self.path}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        with shuffles_freed(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
