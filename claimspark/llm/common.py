@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from claimspark.session import shared_dir
+from claimspark.session import shared_dir, shuffles_freed
 
 #: Rows in an Arrow batch; texts may be long, so batches are kept short.
 BATCH_ROWS = 500
@@ -71,7 +71,8 @@ def folder(spark: SparkSession, name: str) -> str:
 def keep(df: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read back; cuts lineage and survives lost executors."""
     path = folder(df.sparkSession, "kept")
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

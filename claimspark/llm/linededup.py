@@ -72,7 +72,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             hashes, _ = words_of(part.column("text"))
-            np.add.at(total, (hashes & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+            total += np.bincount((hashes & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
     held = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], ["counter", "n"])
 
@@ -165,7 +165,8 @@ def _listed(often: np.ndarray, percent: int, least: int):
                         known[n] = prefixes(n, percent)
                 wanted = np.array([known[n] for n in sizes.tolist()], np.int64).reshape(-1, 2)[back]
                 rare = often[(x.tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                order = np.lexsort((x.tokens, rare, x.of))
+                # tokens of a line ascend, so a stable sort leaves those that are as rare in that order
+                order = np.argsort(x.of.astype(np.int64) << 32 | rare, kind="stable")
                 tokens, rare = x.tokens[order], rare[order]
                 at = np.arange(len(order)) - (x.ends - x.sizes)[x.of]
                 lists, members = [], []
@@ -276,17 +277,18 @@ def _matched(run: Run, source: DataFrame, classes: DataFrame, percent: int, leas
     whole, name = Window.partitionBy("list"), F.col("member").bitwiseAND(F.lit(~LATE))
     rows = rows.withColumns({"least": F.min(name).over(whole), "most": F.max(name).over(whole)})
     dealt = F.col("list").bitwiseAND(F.lit((1 << SHARE_BITS) - 1)) > 0
-    rows = run.keep(rows.where((F.col("least") < F.col("most")) | dealt).groupBy("list", "member").agg(name.alias("a")))
+    rows = rows.where((F.col("least") < F.col("most")) | dealt).groupBy("list", "member").agg(name.alias("a"))
 
     x = F.struct("n", F.col("member").bitwiseAND(F.lit(LATE)).cast("int").alias("pos"), "sketch").alias("x")
-    members = rows.join(classes.select("a", "first", "n", "sketch"), "a").select("list", "first", x)
-    ordered = whole.orderBy("first")
-    centre = F.first(F.struct("first", "x")).over(ordered)
-    members = members.withColumns({"rank": F.row_number().over(ordered), "centre": centre, "dealt": dealt})
-    near = (F.col("rank") > 1) & _possible(F.col("centre.x"), F.col("x"), percent)
-    members = members.withColumn("near", F.when(near, F.col("centre.first"))).drop("centre")
     token = F.shiftright("list", SHARE_BITS).alias("token")
-    members = run.keep(members.select(token, "list", "first", "x", "rank", "dealt", "near"))
+    ordered = whole.orderBy("first")
+    with Run(source.sparkSession) as part:
+        members = part.keep(rows).join(classes.select("a", "first", "n", "sketch"), "a").select("list", "first", x)
+        centre = F.first(F.struct("first", "x")).over(ordered)
+        members = members.withColumns({"rank": F.row_number().over(ordered), "centre": centre, "dealt": dealt})
+        near = (F.col("rank") > 1) & _possible(F.col("centre.x"), F.col("x"), percent)
+        members = members.withColumn("near", F.when(near, F.col("centre.first"))).drop("centre")
+        members = run.keep(members.select(token, "list", "first", "x", "rank", "dealt", "near"))
 
     ends = members.select(F.col("first").alias("p")).distinct().select("p.*")
     wanted = ends.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_set("line").alias("wanted"))
