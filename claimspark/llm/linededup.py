@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from claimspark.llm.common import PLACE, by_batches, by_bytes, keep, mix, slices, words_of
 from claimspark.session import Run
+from claimspark.sources.keys import assign_ids
 
 #: Lines with fewer distinct tokens stay as they are: only blank ones, unless the caller asks for more.
 LEAST = 1
@@ -190,18 +191,15 @@ def _listed(often: np.ndarray, percent: int, least: int):
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, row, line, text) of the wanted lines of each text."""
+    """(id, text) of the wanted lines (line, id) of each text."""
     for batch in batches:
         for part in slices(batch):
             parts = [t.split(b"\n") for t in part.column("text").fill_null("").cast(pa.binary()).to_pylist()]
             wanted = part.column("wanted")
             of = np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy())
-            line = wanted.flatten()
+            line, name = wanted.flatten().flatten()
             found = pa.array([parts[i][j] for i, j in zip(of, line.to_pylist())], pa.binary()).cast(pa.string())
-            of = pa.array(of)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(of), part.column("row").take(of), line, found], ["doc_id", "row", "line", "text"]
-            )
+            yield pa.RecordBatch.from_arrays([name, found], ["id", "text"])
 
 
 def _alike(percent: int):
@@ -216,7 +214,7 @@ def _alike(percent: int):
             twice = of[1:][(of[1:] == of[:-1]) & (tokens[1:] == tokens[:-1])]
             overlap = np.bincount(twice, minlength=len(batch))
             found = pa.array(100 * overlap >= percent * (u.sizes + v.sizes - overlap))
-            yield pa.RecordBatch.from_arrays([batch.column("v").filter(found)], ["first"])
+            yield pa.RecordBatch.from_arrays([batch.column("v").filter(found)], ["id"])
 
     return run
 
@@ -238,14 +236,11 @@ def _possible(u: Column, v: Column, percent: int) -> Column:
     return alike & placed & (apart * (100 + percent) <= both * (100 - percent))
 
 
-PLACED = "struct<doc_id: long, row: long, line: int>"
-
-
 def _later(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(first) of the v of pairs (u, v), u the earlier, that are similar."""
-    both = pairs.distinct().join(texts.select(F.col("p").alias("u"), F.col("text").alias("su")), "u")
-    both = both.join(texts.select(F.col("p").alias("v"), F.col("text").alias("sv")), "v").select("v", "su", "sv")
-    return by_bytes(both, _alike(percent), f"first {PLACED}").distinct()
+    """(id) of the v of pairs (u, v), u the earlier, that are similar."""
+    both = pairs.distinct().join(texts.select(F.col("id").alias("u"), F.col("text").alias("su")), "u")
+    both = both.join(texts.select(F.col("id").alias("v"), F.col("text").alias("sv")), "v").select("v", "su", "sv")
+    return by_bytes(both, _alike(percent), "id long").distinct()
 
 
 def line_matches(docs: DataFrame, percent: int = 80, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -262,9 +257,10 @@ def line_matches(docs: DataFrame, percent: int = 80, least: int = LEAST) -> tupl
         # size and sketch of a class are the same wherever they come from
         same = F.struct(F.col("l.n").alias("n"), F.col("l.sketch").alias("sketch"))
         classes = each.groupBy("l.a", "l.b").agg(F.min(place).alias("first"), F.first(same).alias("c"), F.count("*").alias("copies"))
-        classes = run.keep(classes.select("a", "b", "first", "c.*", "copies"))
+        # numbered in the order of their first places
+        classes = assign_ids(classes.select("a", "b", "first", "c.*", "copies"), ["first"], 1, "id", run.keep)
         matched = _matched(run, source, classes, percent, least)
-        out = classes.join(matched.withColumn("matched", F.lit(True)), "first", "left")
+        out = classes.join(matched.withColumn("matched", F.lit(True)), "id", "left")
         out = out.select("a", "b", "first", F.coalesce("matched", F.lit(False)).alias("matched"), "copies").where("matched or copies > 1")
         out = keep(out)
     names = F.transform("lines", lambda x: F.struct(x["line"], x["a"], x["b"]))
@@ -272,45 +268,45 @@ def line_matches(docs: DataFrame, percent: int = 80, least: int = LEAST) -> tupl
 
 
 def _matched(run: Run, source: DataFrame, classes: DataFrame, percent: int, least: int) -> DataFrame:
-    """(first) of the classes with an earlier similar one."""
+    """(id) of the classes with an earlier similar one."""
     rows = by_batches(source.select("text"), _listed(frequencies(source), percent, least), "list long, member long")
     whole, name = Window.partitionBy("list"), F.col("member").bitwiseAND(F.lit(~LATE))
     rows = rows.withColumns({"least": F.min(name).over(whole), "most": F.max(name).over(whole)})
     dealt = F.col("list").bitwiseAND(F.lit((1 << SHARE_BITS) - 1)) > 0
-    rows = rows.where((F.col("least") < F.col("most")) | dealt).groupBy("list", "member").agg(name.alias("a"))
+    rows = rows.where((F.col("least") < F.col("most")) | dealt).select("list", "member").distinct()
 
     x = F.struct("n", F.col("member").bitwiseAND(F.lit(LATE)).cast("int").alias("pos"), "sketch").alias("x")
     token = F.shiftright("list", SHARE_BITS).alias("token")
-    ordered = whole.orderBy("first")
+    ordered = whole.orderBy("id")
     with Run(source.sparkSession) as part:
-        members = part.keep(rows).join(classes.select("a", "first", "n", "sketch"), "a").select("list", "first", x)
-        centre = F.first(F.struct("first", "x")).over(ordered)
-        members = members.withColumns({"rank": F.row_number().over(ordered), "centre": centre, "dealt": dealt})
+        members = part.keep(rows).withColumn("a", name).join(classes.select("a", "id", "n", "sketch"), "a").select("list", "id", x)
+        centre = F.first(F.struct("id", "x")).over(ordered)
+        members = members.withColumns({"rank": F.row_number().over(ordered), "centre": centre})
         near = (F.col("rank") > 1) & _possible(F.col("centre.x"), F.col("x"), percent)
-        members = members.withColumn("near", F.when(near, F.col("centre.first"))).drop("centre")
-        members = run.keep(members.select(token, "list", "first", "x", "rank", "dealt", "near"))
+        members = members.withColumn("near", F.when(near, F.col("centre.id"))).drop("centre")
+        members = run.keep(members).withColumns({"token": token, "dealt": dealt})
 
-    ends = members.select(F.col("first").alias("p")).distinct().select("p.*")
-    wanted = ends.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_set("line").alias("wanted"))
+    ends = classes.join(members.select("id").distinct(), "id", "left_semi").select("first.*", "id")
+    wanted = ends.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_list(F.struct("line", "id")).alias("wanted"))
     found = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
-    texts = by_batches(found.select("doc_id", "row", "text", "wanted"), _lines, "doc_id long, row long, line int, text string")
+    texts = by_batches(found.select("doc_id", "row", "text", "wanted"), _lines, "id long, text string")
     # repeated rows need to be read once
-    texts = run.keep(texts.dropDuplicates(["doc_id", "row", "line"]).select(F.struct("doc_id", "row", "line").alias("p"), "text"))
+    texts = run.keep(texts.dropDuplicates(["id"]))
 
-    matched = run.keep(_later(members.where("near is not null").select(F.col("near").alias("u"), F.col("first").alias("v")), texts, percent))
+    matched = run.keep(_later(members.where("near is not null").select(F.col("near").alias("u"), F.col("id").alias("v")), texts, percent))
     low, high = 1, CENTRES
     while True:
-        open_ = members.join(matched, "first", "left_anti")
+        open_ = members.join(matched, "id", "left_anti")
         # lists with a class that has no match and stands behind a centre not yet tried
-        last = open_.groupBy("token").agg(F.max("first").alias("last"))
+        last = open_.groupBy("token").agg(F.max("id").alias("last"))
         # the shares of a dealt list have not met yet in the second round
         tried = F.when(F.col("dealt") & F.lit(low == 1), 0).otherwise(low)
-        centres = members.where((F.col("rank") > tried) & (F.col("rank") <= high)).join(last, "token").where(F.col("first") < F.col("last"))
-        centres = run.keep(centres.select("token", F.col("list").alias("lu"), F.col("first").alias("u"), F.col("x").alias("xu"), F.col("rank").alias("at")))
+        centres = members.where((F.col("rank") > tried) & (F.col("rank") <= high)).join(last, "token").where(F.col("id") < F.col("last"))
+        centres = run.keep(centres.select("token", F.col("list").alias("lu"), F.col("id").alias("u"), F.col("x").alias("xu"), F.col("rank").alias("at")))
         if centres.isEmpty():
             return matched
-        meet = (F.col("u") < F.col("first")) & _possible(F.col("xu"), F.col("x"), percent) & ((F.col("at") > 1) | (F.col("list") != F.col("lu")))
-        pairs = open_.join(centres, "token").where(meet).select("u", F.col("first").alias("v"))
+        meet = (F.col("u") < F.col("id")) & _possible(F.col("xu"), F.col("x"), percent) & ((F.col("at") > 1) | (F.col("list") != F.col("lu")))
+        pairs = open_.join(centres, "token").where(meet).select("u", F.col("id").alias("v"))
         matched = run.keep(matched.unionAll(_later(run.keep(pairs.distinct()), texts, percent)))
         low, high = high, high * GROWTH
 
