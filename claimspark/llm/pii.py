@@ -1,7 +1,7 @@
 """Personal data: patterns, and a character-level bidirectional LSTM with CRF transitions that adds spans.
 
-The model is trained in numpy on a bounded sample of spans that the patterns label, together with
-the same numbers in other spellings. Texts are cut into overlapping windows; each is
+The model is trained in numpy on a bounded sample of spans that the patterns label, rewritten in
+spellings that no pattern matches: addresses with [at] and [dot], spaced octets, cards with dots, national phone numbers. Texts are cut into overlapping windows; each is
 decoded by itself, and a text's spans are settled over all its windows at once.
 """
 
@@ -33,7 +33,8 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TRIGGER = re.compile("[0-9@]")
+#: What every span of the model has: a digit, an at-sign, or one spelled out in brackets.
+TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
 Span = tuple[int, int, int]  # kind, start, end
 
 
@@ -79,7 +80,7 @@ def base_spans(text: str, checked: bool = True) -> list[Span]:
 
 # -- characters and tags
 
-_SINGLE = "@.-+()_%=\"'/:,; \n"
+_SINGLE = "@.-+()[]_%=\"'/:,; \n"
 CLASSES = 1 + len(_SINGLE) + 5  # padding, single signs, then digit, lower, upper, other letter, other
 TAGS = 1 + 2 * len(KINDS)  # outside, begin and inside of each kind
 
@@ -262,9 +263,9 @@ class Tagger:
 # -- windows
 
 def windows(text: str, coded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and classes of the windows with a digit or at-sign.
+    """Starts and classes of the windows with a digit or at-sign, spelled out or not.
 
-    Spans without either are never added, and a window is decoded by itself, so windows without
+    Spans without any are never added, and a window is decoded by itself, so windows without
     them cannot change the result.
     """
     hot = np.array(sorted({m.start() // STEP for m in TRIGGER.finditer(text)}), np.int64)
@@ -286,12 +287,18 @@ def _spans(tags: np.ndarray, chance: np.ndarray) -> list[tuple[int, int, int, fl
     return out
 
 
+def plain_mail(text: str) -> str:
+    """An address with its signs written as signs."""
+    return re.sub(r" ?[\[(]dot[\])] ?", ".", re.sub(r" ?[\[(]at[\])] ?", "@", text))
+
+
 def _plausible(kind: int, text: str) -> bool:
     """What a span must have whatever the model says."""
     digits = len(_digits(text))
     if kind == 0:
-        return "@" in text and digits + sum(c.isalpha() for c in text) >= 3
+        return "@" in plain_mail(text) and digits + sum(c.isalpha() for c in text) >= 3
     if kind == 1:
+        text = re.sub(r" ?\. ?", ".", text)
         return text.count(".") == 3 and all(p.isascii() and p.isdigit() and int(p[:9]) <= 255 and len(p) < 4 for p in text.split("."))
     return 13 <= digits <= 19 and luhn(_digits(text)) if kind == 2 else 7 <= digits <= 15
 
@@ -338,31 +345,43 @@ def added_spans(model: Tagger, texts_: list[str], bases: list[list[Span]]) -> li
 # -- training
 
 def _respelled(rng: np.random.Generator, kind: int, piece: str) -> str:
-    """The same number as people also write it; other kinds stay."""
-    if kind == 3:
-        digits = _digits(piece)[-10:]
-        if len(digits) == 10:
-            a, b, c = digits[:3], digits[3:6], digits[6:]
-            return [piece, f"({a}) {b}-{c}", f"{a}-{b}-{c}"][rng.integers(3)]
-    return piece
+    """The same as people also write it, in forms that mostly no pattern matches."""
+    ways = [piece]
+    digits = _digits(piece)
+    if kind == 0:
+        ways += [piece.replace("@", sign) for sign in (" [at] ", "(at)")]
+        ways.append(piece.replace("@", " [at] ").replace(".", " [dot] "))
+    elif kind == 1:
+        ways.append(piece.replace(".", " . "))
+    elif kind == 2:
+        ways.append(".".join(digits[i : i + 4] for i in range(0, len(digits), 4)))
+    elif len(digits) >= 10:
+        a, b, c = digits[-10:-7], digits[-7:-4], digits[-4:]
+        ways += [f"({a}) {b}-{c}", f"{a}-{b}-{c}"]
+    return ways[rng.integers(len(ways))]
+
+
+def respelled(rng: np.random.Generator, text: str) -> tuple[str, list[Span]]:
+    """The text with its pattern spans in other spellings, and where they are now."""
+    base = sorted({s: (k, s, e) for k, s, e in reversed(base_spans(text, checked=False))}.values(), key=lambda s: s[1])
+    parts, spans, at, size = [], [], 0, 0
+    for kind, s, e in base:
+        if s < at:
+            continue
+        piece = _respelled(rng, kind, text[s:e])
+        parts += [text[at:s], piece]
+        size += s - at
+        spans.append((kind, size, size + len(piece)))
+        size, at = size + len(piece), e
+    return "".join([*parts, text[at:]]), spans
 
 
 def training_windows(sample: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and tags from the pattern spans of the texts, numbers in several spellings."""
+    """Windows and tags from the pattern spans of the texts, in several spellings."""
     rng = np.random.Generator(np.random.PCG64(11))
     xs, ys = [], []
     for text in sample:
-        base = sorted({s: (k, s, e) for k, s, e in reversed(base_spans(text, checked=False))}.values(), key=lambda s: s[1])
-        parts, spans, at, size = [], [], 0, 0
-        for kind, s, e in base:
-            if s < at:
-                continue
-            piece = _respelled(rng, kind, text[s:e])
-            parts += [text[at:s], piece]
-            size += s - at
-            spans.append((kind, size, size + len(piece)))
-            size, at = size + len(piece), e
-        new = "".join([*parts, text[at:]])
+        new, spans = respelled(rng, text)
         tags = np.concatenate((tags_of(spans, len(new)), np.zeros(WINDOW, np.int64)))
         starts, x = windows(new, classes(new))
         for begin, row in zip(starts.tolist(), x):
