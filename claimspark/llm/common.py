@@ -59,6 +59,14 @@ def by_bytes(df: DataFrame, function: Callable, schema: str | StructType) -> Dat
     return df.mapInArrow(function, schema)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, lengthened until none of the columns has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

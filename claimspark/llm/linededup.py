@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.llm.common import PLACE, by_batches, by_bytes, keep, mix, slices, words_of
+from claimspark.llm.common import PLACE, by_batches, by_bytes, keep, mix, slices, unused, words_of
 from claimspark.session import Run
 from claimspark.sources.keys import assign_ids
 
@@ -333,14 +333,20 @@ def repeated_lines(docs: DataFrame, percent: int = 80, least: int = LEAST) -> Da
     return out.select("doc_id", "row", "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))
 
 
-def drop_repeated_lines(docs: DataFrame, percent: int = 80, least: int = LEAST) -> DataFrame:
-    """docs without the lines that ``repeated_lines`` removes; n_chars, if there, follows. All rows stay."""
-    found = repeated_lines(docs, percent, least).where("n_removed > 0").select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.col("removed").alias("_removed"))
-    found = keep(found.dropDuplicates(["_d", "_r"]))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (_row() == F.col("_r"))
-    lines = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_removed", i))
-    left = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
+def drop_repeated_lines(docs: DataFrame, percent: int = 80, least: int = LEAST, emptied: bool = True) -> DataFrame:
+    """docs without the lines that ``repeated_lines`` removes; n_chars, if there, follows.
+
+    All rows stay; not ``emptied``: without those that lost lines and have no word left. Rows that had no word before stay.
+    """
+    d, r, removed = (unused(c, docs.columns) for c in ("_d", "_r", "_removed"))
+    found = repeated_lines(docs, percent, least).where("n_removed > 0").select(F.col("doc_id").alias(d), F.col("row").alias(r), F.col("removed").alias(removed))
+    found = keep(found.dropDuplicates([d, r]))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (_row() == F.col(r))
+    lines = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(removed, i))
+    left = F.when(F.col(removed).isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
     out = docs.join(found, on, "left").withColumn("text", left)
+    if not emptied:
+        out = out.where(F.col(removed).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

@@ -471,3 +471,16 @@ def test_tagger_finds_spellings_that_no_pattern_matches(spark):
         kinds |= {s[0] for s in want & got}
     assert wanted > 100 and kinds == {0, 1, 2, 3}
     assert both >= 0.9 * wanted and both >= 0.9 * found
+
+
+def test_columns_named_like_the_operators_own(spark):
+    """Clashing column names, and rows equal in id and text but not elsewhere."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, 5, "b", "c", "d"), (1, text, 4, "b", "c", "d"), (1, "other words here\nother words here", 3, "b", "c", "d"), (2, text + " end", 2, "b", "c", "d")]
+    near = spark.createDataFrame(rows, "doc_id long, text string, _node int, _root string, node string, root string")
+    assert sorted(map(tuple, minhash.drop_near_duplicates(near).collect())) == [rows[2], rows[1]]
+    lines = spark.createDataFrame(rows, "doc_id long, text string, _d int, _r string, _removed string, lines string")
+    texts = {(r["text"], r["_d"]) for r in linededup.drop_repeated_lines(lines).collect()}
+    # rows equal in id and text are one document, so the line of the two first ones stays in both
+    assert texts == {(text, 5), (text, 4), ("other words here", 3), ("", 2)}
+    assert linededup.drop_repeated_lines(lines, emptied=False).where("doc_id = 2").isEmpty()
