@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that repeat an earlier one."""
-    return drop_repeated_lines(docs)
+    """The documents without lines that repeat an earlier one; those of which no word is left go."""
+    return drop_repeated_lines(docs, emptied=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
