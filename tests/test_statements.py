@@ -113,6 +113,17 @@ def test_lenient_dates(spark):
     assert [tuple(r) for r in got.collect()] == old
 
 
+def test_date_pattern_once_a_row(spark):
+    """The date's pattern is read once per form and row: repeated by every condition, its code is too large to be compiled."""
+    sent = F.lit("2024-01-31 10:20:30").alias("t")
+    df = spark.range(1).select(sent).select(lenient_time(F.col("t"), h.TIME)["ts"].alias("ts"), F.col("t")).where("ts is not null")
+    plan = df._jdf.queryExecution().analyzed().toString().lower()
+    assert plan.count("regexp_extract(") + plan.count("regexp_replace(") + plan.count("rlike(") <= 6
+    marks = [("# 2024-01-31", None, "TEXTO CURTO DEMAIS"), ("2024-01-31 10:20:30,#,", None, "TEXTO LONGO DEMAIS"), ("2024,01,31 10", "2024-01-31 10:00:00", None)]
+    got = spark.createDataFrame([m[:1] for m in marks], "t string").select("t", lenient_time(F.col("t"), h.TIME).alias("x"))
+    assert sorted((r[0], str(r[1]) if r[1] else None, r[2]) for r in got.select("t", "x.ts", "x.cause").collect()) == sorted(marks)
+
+
 def test_a_failed_request_names_its_cause_and_the_others_go_on(spark):
     ddl = "cd_tiss_demnstrv_retorno long, id long, dt_transacao string, hr_transacao string"
     req = spark.createDataFrame([(1, 1, "2024-1-5", None), (2, 2, "2024-13-05", "10:00"), (3, 3, None, None), (4, 4, "2024-01-05", "25:00:00")], ddl)
