@@ -15,6 +15,8 @@ from claimspark.sources.files import Folder, Log
 from claimspark.sources.tables import update_by_key
 
 FILE = "_arquivo"
+#: Rows that a file holds at most, as far as its keys allow: a task reads and writes one file, however large the table.
+FILE_ROWS = 1 << 20
 
 
 class Conflict(RuntimeError):
@@ -46,7 +48,9 @@ class KeyedTable:
         found = ends.agg(F.min(self.key).alias("low"), F.max(self.key).alias("high"), F.count("*").alias("rows")).collect()
         return [{"file": f"data/{name}/{r[FILE]}", "low": r["low"], "high": r["high"], "rows": r["rows"]} for r in found]
 
-    def create(self, rows: DataFrame, files: int) -> None:
+    def create(self, rows: DataFrame, files: int = 1) -> None:
+        """Write the table's first version, in ``files`` files or more: one holds ``FILE_ROWS`` rows at most."""
+        files = max(files, -(-rows.count() // FILE_ROWS))
         if not self.log.add(1, {"files": self._write(rows, files)}):
             raise Conflict(f"{self.path} exists")
 
@@ -99,7 +103,8 @@ class KeyedTable:
             old = self.holding(keys, files)
             if not old:
                 return 0
-            new = self._write(change(self.read(old)), len(old))
+            files_now = max(len(old), -(-sum(f["rows"] for f in old) // FILE_ROWS))
+            new = self._write(change(self.read(old)), files_now)
             if sum(f["rows"] for f in new) != sum(f["rows"] for f in old):
                 raise ValueError("a change must keep all rows")
             gone = {f["file"] for f in old}

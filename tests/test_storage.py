@@ -67,6 +67,16 @@ def stored(spark, tmp_path):
     return table
 
 
+def test_files_grow_in_number_and_not_in_rows(spark, stored, tmp_path, monkeypatch):
+    monkeypatch.setattr("claimspark.sources.keyed.FILE_ROWS", 50)
+    assert stored.update(stored.read().where("k is not null").selectExpr("k", "string(k) as v"), ["k"], ["v"]) == 10
+    assert len(stored.manifest()) >= 20 and sum(f["rows"] for f in stored.manifest()) == 1001
+    table = KeyedTable(spark, str(tmp_path / "u"), stored.schema, "k")
+    table.create(stored.read(), 2)
+    assert len(table.manifest()) >= 20 and max(f["rows"] for f in table.manifest()) <= 100
+    assert values(table.read(), "k", "v", "w") == values(stored.read(), "k", "v", "w")
+
+
 def test_only_files_with_a_changed_key_are_written(spark, stored):
     before = {f["file"] for f in stored.manifest()}
     assert len(before) == 10 and sum(f["rows"] for f in stored.manifest()) == 1001
