@@ -63,3 +63,33 @@ def test_each_request_gets_one_reply_and_one_outcome(spark):
     # a payment statement without dates is written next to its error row
     pay = out["payment_statement"].filter("vl_total_geral_informado is not null").select(key)
     assert ana.unionByName(pay).unionByName(out["error"].select(key)).count() == asked
+
+
+def test_a_grain_stages_only_what_it_is_made_of(spark):
+    """Error rows need no claims, and totals no guide lines: frames are made when they are read."""
+    t, kept = Frames(spark, SF), []
+
+    def stage(df):
+        kept.append(df)
+        return df
+
+    gated = t.gated
+    paid = st.payment_statement(gated.filter(F.col("ds_destino") == "PAGAMENTO"), t, AS_OF, stage)
+    assert len(paid["error"].columns) == 4 and len(kept) == 2  # verdict and dates
+    asked = st.analysis_statement(gated.filter(F.col("ds_destino") == "ANALISE"), t, AS_OF, stage)
+    assert len(asked["error"].columns) == 4 and len(kept) == 3
+    assert set(asked) == {"statement", "protocol", "guide", "procedure", "denial", "error"}
+    kept.clear()
+    st.statements(t, AS_OF, TENANT, stage)["error"]
+    assert len(kept) == 4  # requests, two verdicts, dates
+
+
+def test_members_are_asked_for_by_their_numbers_alone(spark):
+    """No text of a summary row's place is read or moved to find its member."""
+    plan = ENTRIES["r8_resolve_members"].run(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "cd_cco" in plan and "nm_ups" not in plan.split("Relation")[0] and "nm_municipio" not in plan.split("Relation")[0]
+
+
+def test_totals_read_no_text_of_the_claims(spark):
+    plan = ENTRIES["a14_statement_totals"].run(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "vl_total_pago" in plan and "ds_procedimento" not in plan
