@@ -240,8 +240,10 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 # every share of a bucket ranks its own: the order of a bucket is by rank, then node
                 share = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / DEAL))
                 rank = F.row_number().over(Window.partitionBy("bucket", "share").orderBy(F.desc("x.w"), F.desc("node")))
-                ranked = part.keep(now.join(open_, "bucket").join(nodes, "node").withColumn("share", share).withColumn("rank", rank).drop("share", "m"))
-                middle = ranked.where((F.col("rank") <= high) & (F.col("rank") > low))
+                ranked = part.keep(now.join(open_, "bucket").join(nodes, "node").withColumn("share", share).withColumn("rank", rank).drop("share"))
+                # of a bucket in one share the first was the star's centre; of several shares only one share's first was
+                done = F.when(F.col("m") > DEAL, 0).otherwise(1) if low == 1 else F.lit(low)
+                middle = ranked.where((F.col("rank") <= high) & (F.col("rank") > done))
                 middle = middle.select("bucket", F.col("node").alias("u"), F.col("x").alias("xu"), F.col("root").alias("ru"), F.col("rank").alias("at"))
                 pairs = ranked.select("bucket", F.col("node").alias("v"), F.col("x").alias("xv"), F.col("root").alias("rv"), "rank")
                 pairs = pairs.join(part.keep(middle), "bucket").where(

@@ -99,6 +99,19 @@ def test_links_of_short_texts_are_not_lost(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: i - i % 2 for i, _ in rows}
 
 
+def test_first_of_every_share_becomes_a_centre(spark, monkeypatch):
+    """A bucket is dealt over shares that rank their own; the first of each meets the others too, not the bucket's top alone."""
+    monkeypatch.setattr(minhash, "DEAL", 1)
+    rng = np.random.Generator(np.random.PCG64(5))
+    sets = [frozenset(range(60)) | {60 + int(w) for w in np.flatnonzero(rng.random(60) < 0.38)} for _ in range(90)]
+    docs = spark.createDataFrame([(i, " ".join(f"w{w}" for w in sorted(s))) for i, s in enumerate(sets)], "doc_id long, text string")
+    least = list(range(len(sets)))
+    for _ in sets:
+        least = [min(least[j] for j, b in enumerate(sets) if 100 * len(a & b) >= 80 * len(a | b)) for a in sets]
+    got = minhash.near_duplicates(docs, 1)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == dict(enumerate(least))
+
+
 def test_rows_of_one_id_are_judged_by_their_own_text(spark):
     copy = "one two three four five six seven eight"
     rows = [(1, copy), (3, "rain falls on the old river"), (3, "another text of the same id"), (3, copy + "."), (3, copy), (3, ""), (3, "  ")]
