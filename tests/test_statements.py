@@ -258,3 +258,22 @@ def test_unreadable_import_lines_are_kept_aside(spark, tmp_path, table):
     got = s.import_items(spark, path, notice_id=4)
     assert values(got.filter(f"{s.BAD_LINE} is null"), s.ITEM, "nm_ups", "vl_procedimento", "cd_ressarcimento_sus") == [(1, "A;B", 1.5, 4)]
     assert got.count() == 2
+
+
+def test_messages_are_dealt_before_they_are_read(table):
+    """A file of few row groups is read by few tasks; the costly reading of its messages is not left to them."""
+    sent = table("message", {"id": 1, "cd_versao": "3.05.00", "dt_transacao": "2024-01-31", "hr_transacao": "10:20:30"})
+    plan = h.message_fields(sent.coalesce(1), date(2024, 1, 31))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("transform(") < plan.index("RepartitionByExpression")
+
+
+def test_times_written_in_full_are_judged_like_all_others(spark):
+    texts = {
+        "2024-02-29 10:20:30": None, "2023-02-29 10:20:30": "DIA NAO EXISTE NO MES", "0000-01-01 10:20:30": "ANO INVALIDO",
+        "2024-13-01 10:20:30": "MES INVALIDO", "2024-01-01 24:00:00": "HORA INVALIDA", "2024-01-01 10:60:00": "MINUTO INVALIDO",
+        "2024-01-01 10:20:60": "SEGUNDO INVALIDO", "2024-01-01 10:20:30\n": None, "2024-01-01 10:20:301": "TEXTO LONGO DEMAIS",
+    }
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lenient_time(F.col("t"), h.TIME).alias("x"))
+    rows = {r.t: r.x for r in got.collect()}
+    assert {t: x["cause"] for t, x in rows.items()} == texts
+    assert {t: str(x["ts"]) for t, x in rows.items() if x["ts"]} == {t: t.strip() for t, c in texts.items() if c is None}
