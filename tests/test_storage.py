@@ -5,6 +5,8 @@ import threading
 
 import pytest
 
+from checks.derived import Derived
+from claimspark.session import shuffles_freed
 from claimspark.sources import tables as s
 from claimspark.sources.files import Folder, Log
 from claimspark.sources.keyed import Conflict, KeyedTable
@@ -190,3 +192,26 @@ def test_two_consumers_share_the_rows(spark, tmp_path):
     _, errors = at_once(2, lambda i: s.consume_staging(spark, staging, path))
     assert taken(spark, path) == list(range(20)) and not errors
     assert json.dumps(Log(spark, f"{path}/_generations").entries())
+
+
+def test_frames_written_side_by_side_free_their_shuffles_until_the_last_ends(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    first, second = shuffles_freed(spark), shuffles_freed(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(name) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(name, None) == before
+
+
+def test_derived_tables_are_made_side_by_side_and_once(spark, tmp_path):
+    spark.createDataFrame([(0,), (4,)], "r_regionkey int").write.parquet(f"{tmp_path}/region.parquet")
+    spark.createDataFrame([(1, "A", 2, 5.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    tables = Derived(spark, str(tmp_path))
+    tables.prepare("fx_config", "fx_provider", "fx_address_authoriser")
+    paths = {step: path for step, (path, _) in tables._files.items()}
+    assert set(paths) == {"fx_insurer", "fx_config", "fx_provider", "fx_address", "fx_address_authoriser"}
+    assert (tables["config"].count(), tables["address_authoriser"].count()) == (14, 2)
+    assert {step: path for step, (path, _) in tables._files.items()} == paths
