@@ -1,3 +1,6 @@
+import io
+import re
+from contextlib import redirect_stdout
 from datetime import date, datetime
 from decimal import Decimal as D
 
@@ -12,6 +15,7 @@ from claimspark.operators import header as h
 from claimspark.operators import payment as p
 from claimspark.operators.ledger import account_name
 from claimspark.operators.running import running_totals
+from claimspark.plans import statements as st
 from claimspark.plans.headers import resolved_headers, validate_headers
 from claimspark.sources import tables as s
 from claimspark.sources.keys import assign_ids
@@ -277,3 +281,47 @@ def test_times_written_in_full_are_judged_like_all_others(spark):
     rows = {r.t: r.x for r in got.collect()}
     assert {t: x["cause"] for t, x in rows.items()} == texts
     assert {t: str(x["ts"]) for t, x in rows.items() if x["ts"]} == {t: t.strip() for t, c in texts.items() if c is None}
+
+
+def test_header_steps_are_small_enough_to_be_compiled(spark, table, registry, secrets, tmp_path):
+    """The JVM interprets a method of more than 8000 bytes, for every message, however many there are."""
+    def stored(name, df):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / name))
+
+    known = {n: stored(n, df) for n, df in (registry | secrets).items()}
+    judged = validate_headers(stored("message", table("message", message(1))), **known, as_of=AS_OF)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with redirect_stdout(io.StringIO()) as shown:
+            judged.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
+def test_protocol_grain_keeps_no_claims(table):
+    """The totals read the few columns they need; the request's own columns are not repeated for each protocol."""
+    kept = []
+    names = ("provider", "address", "req_proto", "protocol", "lot", "invoice", "claim", "denial", "guide", "member")
+    t = {n: table(n) for n in names}
+    asked = a.requests(table("message"), table("request"))
+    req = asked.withColumn("cd_multi_empresa", F.lit(1).cast("bigint")).withColumn(
+        "g_cabecalho", F.lit(None).cast("struct<cd_glosa: string, ds_glosa: string>")
+    )
+
+    def stage(df):
+        kept.append(df.columns)
+        return df
+
+    made = st.analysis_statement(req, t, AS_OF, stage)
+    assert made["protocol"].columns and not [c for c in kept if "cd_conta_medica" in c]
+    assert not [c for c in kept if "nr_protocolo" in c and "nr_documento" in c]
+    # the lots, whose size decides how the claims are joined, are kept
+    assert {"cd_lote", "nr_protocolo", "cd_prestador_pedido", "cd_fatura_lote"} in map(set, kept)
+    # the guides list the claims, so then they lie ready, once
+    kept.clear()
+    assert st.analysis_statement(req, t, AS_OF, stage)["guide"].columns
+    assert len([c for c in kept if "cd_conta_medica" in c and "qt_pago" in c]) == 1
