@@ -325,3 +325,33 @@ def test_protocol_grain_keeps_no_claims(table):
     kept.clear()
     assert st.analysis_statement(req, t, AS_OF, stage)["guide"].columns
     assert len([c for c in kept if "cd_conta_medica" in c and "qt_pago" in c]) == 1
+
+
+def test_payment_sides_are_kept_narrow_with_the_same_result(spark, table):
+    """What the next large table is joined to is kept first."""
+    items = spark.createDataFrame([(1, "S"), (2, "S"), (3, "N")], "cd_con_pag long, folha string")
+    transfers = table("transfer", *[dict(cd_repasse_prestador=i, cd_fatura=i * 10, cd_con_pag=i) for i in (1, 2, 3, 4)])
+    protocols = table("protocol", *[dict(cd_protocolo_ctamed=i * 100, cd_fatura=i * 10, nr_lote_prestador=i) for i in (1, 3, 4)])
+    lots = table("lot", *[dict(cd_lote=i, cd_protocolo_ctamed=i * 100 if i != 2 else None, cd_fatura=i * 10) for i in (1, 2, 3, 4)])
+    claims = table("claim", *[
+        dict(cd_lote=i, cd_repasse_prestador=i, vl_total_pago=D(i), vl_total_glosado=D(1)) for i in (1, 1, 2, 3, 4)
+    ])
+    batch = table("batch_guide", *[dict(cd_protocolo_ctamed=i * 100, vl_total_procedimento=f"{i},50") for i in (1, 1, 3, 4)])
+    entries = table("creddeb", *[dict(cd_fatura=i * 10, tp_lancamento="C", vl_lancamento=D(i)) for i in (1, 2, 3, 4)])
+    kept = []
+
+    def stage(df):
+        kept.append(df.columns)
+        return df.localCheckpoint()
+
+    wanted = p.transfers_of(items, transfers)
+    plain, staged = (p.transfer_summary(wanted, claims, lots, protocols, batch, *more) for more in ((), (stage,)))
+    cols = ["cd_repasse_prestador", "folha", "nr_protocolo", "nr_lote", "vl_informado", "vl_liberado", "vl_glosa"]
+    assert values(staged, *cols) == values(plain, *cols) == [
+        (1, "S", 100, 1, 3.0, 2.0, 2.0), (2, "S", 2, 2, 2.0, 2.0, 1.0), (3, "N", 300, 3, 3.5, 3.0, 1.0)
+    ]
+    assert len(kept) == 5
+    plain, staged = (p.payable_credits(items, transfers, protocols, lots, claims, entries, *more) for more in ((), (stage,)))
+    cols = ["cd_con_pag", "cd_fatura", "tp_indicador", "vl_lancamento"]
+    assert values(staged, *cols) == values(plain, *cols) == [(1, 10, 1, 1.0), (3, 30, 1, 3.0)]
+    assert len(kept) == 8
