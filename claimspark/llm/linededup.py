@@ -5,9 +5,12 @@ Tokens of a line are ordered by rarity. Two similar sets differ in few tokens, a
 most two neighbours among the shared ones: so among the first tokens there are two that follow one another in
 both sets. Classes meet in these pairs of neighbours in their prefix, of which unrelated lines share few,
 however much text there is; a single rare token is shared by more lines the more there are. Sets too different
-for that at a low similarity meet in the single tokens of the usual prefix. Length and position rule pairs
-out, and so does the distance of two parity sketches, which is never above the symmetric difference. Jaccard on
-the full sets of what is left decides.
+for that at a low similarity meet in the single tokens of the usual prefix. So do all sets in their rare tokens,
+whose lists are short: rare tokens come first, so if two sets share one, they share one in that prefix, and if
+they share none, all of them count among the differences and fewer neighbours do. Length and position rule pairs
+out, and so does the distance of two parity sketches, which is never above the symmetric difference: a member that
+no other one of its list can be similar to is left out before anything is joined. Jaccard on the full sets of
+what is left decides.
 
 Each list is first joined to its earliest class (a star); classes without an earlier match go on to further
 centres until all earlier ones were tried, so that the pairs of a group of alike lines are not formed. The list
@@ -29,8 +32,16 @@ from claimspark.sources.keys import assign_ids
 
 #: Lines with fewer distinct tokens stay as they are: only blank ones, unless the caller asks for more.
 LEAST = 1
-#: Fixed number of counters for token frequencies; any order of tokens is exact, a good one is fast.
-COUNTERS = 1 << 20
+#: Fixed number of counters for token frequencies, and of those in a block; any order of tokens is exact, a good one is fast.
+COUNTERS, BLOCK = 1 << 22, 1 << 14
+#: Counts up to EXACT have a level of their own, beyond it there are STEPS levels for each doubling.
+EXACT, STEPS = 128, 4
+#: Tokens up to this level are rare: single tokens of a prefix make lists.
+RARE = 64
+#: Rows of lists that a task collects before it deals them out, and words for which they are dealt to one group more.
+ROWS, GROUP = 1 << 19, 1 << 16
+#: Members of a list that are compared with one another before anything is joined; longer lists go on whole.
+COMPARED = 256
 #: Words of a token for which its lists get one more task.
 SHARE = 1 << 14
 #: Centres of a list in the second round, and the factor for each further round.
@@ -69,26 +80,53 @@ class Lines:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(COUNTERS, np.int64)
+    total = np.zeros(COUNTERS, np.int32)
+    held: list[np.ndarray] = []
     for batch in batches:
         for part in slices(batch):
             hashes, _ = words_of(part.column("text"))
-            total += np.bincount((hashes & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-    held = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], ["counter", "n"])
+            held.append((hashes & np.uint64(COUNTERS - 1)).astype(np.int32))
+            if sum(map(len, held)) >= COUNTERS:
+                total += np.bincount(np.concatenate(held), minlength=COUNTERS).astype(np.int32)
+                held = []
+    if held:
+        total += np.bincount(np.concatenate(held), minlength=COUNTERS).astype(np.int32)
+    blocks = total.reshape(-1, min(BLOCK, COUNTERS))
+    some = np.flatnonzero(blocks.any(axis=1))
+    packed = [pa.compress(blocks[i].tobytes(), "zstd", asbytes=True) for i in some]
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(packed, pa.binary())], ["block", "counts"])
 
 
-def frequencies(docs: DataFrame) -> np.ndarray:
-    """Words per counter over all texts; COUNTERS numbers come to the driver, whatever the input."""
-    out = np.zeros(COUNTERS, np.int64)
-    counted = by_batches(docs.select("text"), _counted, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    table = counted.toArrow()
-    out[table["counter"].to_numpy()] = table["n"].to_numpy()
-    return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
+def levels(counts: np.ndarray) -> np.ndarray:
+    """A byte for each count; a higher count never has a lower one."""
+    beyond = EXACT + STEPS * np.log2(np.maximum(counts, EXACT) / EXACT)
+    return np.minimum(np.where(counts < EXACT, counts, beyond), 255).astype(np.uint8)
 
 
-#: ``a`` and ``b`` name the token set.
-LINED = "doc_id long, row long, n_lines int, lines array<struct<line: int, a: long, b: long, n: int, sketch: long>>"
+#: Counts that the levels stand for, at most.
+COUNTS = np.array([n if n < EXACT else int(EXACT * 2 ** ((n + 1 - EXACT) / STEPS)) for n in range(256)], np.int64)
+
+
+def _summed(group: pa.Table) -> pa.Table:
+    total = np.zeros(min(BLOCK, COUNTERS), np.int64)
+    for packed in group.column("counts").to_pylist():
+        total += np.frombuffer(pa.decompress(packed, total.size * 4, "zstd", asbytes=True), np.int32)
+    block = group.column("block").slice(0, 1).combine_chunks()
+    return pa.table({"block": block, "level": pa.array([levels(total).tobytes()], pa.binary()), "words": pa.array([int(total.sum())])})
+
+
+def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """(level of each counter over all texts, words of all texts); COUNTERS bytes come to the driver, whatever the input."""
+    out = np.zeros((COUNTERS // min(BLOCK, COUNTERS), min(BLOCK, COUNTERS)), np.uint8)
+    counted = by_batches(docs.select("text"), _counted, "block int, counts binary")
+    table = counted.groupBy("block").applyInArrow(_summed, "block int, level binary, words long").toArrow()
+    for block, level in zip(table["block"].to_pylist(), table["level"].to_pylist()):
+        out[block] = np.frombuffer(level, np.uint8)
+    return out.reshape(-1), sum(table["words"].to_pylist())
+
+
+#: ``a`` and ``b`` name the token set, ``even`` and ``odd`` are its sketch.
+LINED = "doc_id long, row long, n_lines int, lines array<struct<line: int, a: long, b: long, n: int, even: long, odd: long>>"
 
 
 def _named(x: Lines) -> tuple[np.ndarray, np.ndarray]:
@@ -97,19 +135,28 @@ def _named(x: Lines) -> tuple[np.ndarray, np.ndarray]:
     return a & np.int64(~LATE), b
 
 
+def _sketch(x: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """128 parities of each line's token set, in two halves; one xor the other are 64 parities of it.
+
+    64 tell lines of up to some 90 words apart, 128 up to 200: unlike sets differ in half of the parities.
+    """
+    place = mix(x.tokens * PLACE[4])
+    bit, odd = np.uint64(1) << (place & np.uint64(63)), (place >> np.uint64(6) & np.uint64(1)).astype(bool)
+    return x.folded(np.where(odd, np.uint64(0), bit), np.bitwise_xor), x.folded(np.where(odd, bit, np.uint64(0)), np.bitwise_xor)
+
+
 def _lined(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 x = Lines(part.column("text"))
                 a, b = _named(x)
-                bit = np.uint64(1) << (mix(x.tokens * PLACE[4]) & np.uint64(63))
-                sketch = x.folded(bit, np.bitwise_xor)
+                sketch = _sketch(x)
                 text = np.repeat(np.arange(len(x.counts)), x.counts)
                 number = np.arange(len(text)) - np.repeat(np.cumsum(x.counts) - x.counts, x.counts)
                 use = np.flatnonzero(x.sizes >= max(least, 1))
-                held = [number[use].astype(np.int32), a[use], b[use], x.sizes[use].astype(np.int32), sketch[use]]
-                held = pa.StructArray.from_arrays([pa.array(v) for v in held], ["line", "a", "b", "n", "sketch"])
+                held = [number[use].astype(np.int32), a[use], b[use], x.sizes[use].astype(np.int32), *(h[use] for h in sketch)]
+                held = pa.StructArray.from_arrays([pa.array(v) for v in held], ["line", "a", "b", "n", "even", "odd"])
                 per_text = np.concatenate(([0], np.cumsum(np.bincount(text[use], minlength=len(x.counts))))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -142,12 +189,49 @@ def prefixes(n: int, percent: int) -> tuple[int, int]:
     return int(single.max(initial=0)), int(pairs.max(initial=0))
 
 
-def _listed(often: np.ndarray, percent: int, least: int):
-    """(list, member) of the classes of some texts: one row per single token or pair of neighbours in a prefix."""
+def wanted(n: int, percent: int) -> tuple[int, int, np.ndarray]:
+    """What a set of n tokens lists: (single tokens, single tokens if rare, tokens of its prefix of neighbours by the number of rare ones).
+
+    Rare tokens come first. Sets that share one share one within the first n - o + 1 of either (o and D as in ``prefixes``).
+    Of sets that share none, all rare tokens, r, are among the n - o or fewer that are not shared, and D - r others are left
+    at most: the neighbours lie in the first D - r + 2 + (n - r) - o of the tokens behind the rare ones. Where o is less
+    than D + 2, which depends on both sizes alike, any single token must do.
+    """
+    m = np.arange(-(-percent * n // 100), 100 * n // percent + 1, dtype=np.int64)
+    apart = (n + m) * (100 - percent) // (100 + percent)
+    apart -= (n + m - apart) % 2
+    shared = (n + m - apart) // 2
+    meant = (apart > 0) & (shared <= np.minimum(n, m))
+    near = meant & (shared >= apart + 2)
+    single, rare = (int((n - shared[x] + 1).max(initial=0)) for x in (meant & ~near, meant))
+    alone, length = (n - shared)[near], (apart + 2 + n - shared)[near]
+    rows = range(int(alone.max(initial=-1)) + 1)
+    return single, rare, np.array([length[alone >= r].max() - 2 * r for r in rows], np.int64)
+
+
+#: The rows of a group of lists, packed: list, member, sketch, size.
+PACKED = {"lists": np.int64, "members": np.int64, "sketches": np.uint64, "sizes": np.int32}
+PACKED_SCHEMA = "part int, " + ", ".join(f"{c} binary" for c in PACKED)
+
+
+def _packed(rows: list[tuple[np.ndarray, ...]], parts: int) -> pa.RecordBatch:
+    """Rows of lists, dealt to parts by list, one row of bytes for each part."""
+    columns = [np.concatenate(c) for c in zip(*rows)]
+    part = (mix(columns[0].view(np.uint64) + PLACE[8]) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    some, first = np.unique(part[order], return_index=True)
+    ends = [*first[1:].tolist(), len(part)]
+    packed = [[c[i:j].tobytes() for i, j in zip(first.tolist(), ends)] for c in (c[order] for c in columns)]
+    return pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(p, pa.binary()) for p in packed]], ["part", *PACKED])
+
+
+def _listed(often: np.ndarray, percent: int, least: int, parts: int):
+    """The lists of the classes of some texts, packed: one row per single token or pair of neighbours in a prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, tuple[int, int]] = {}
+        known: dict[int, tuple[int, int, np.ndarray]] = {}
         seen: set[int] = set()
+        rows: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             for part in slices(batch):
                 x = Lines(part.column("text"))
@@ -160,32 +244,80 @@ def _listed(often: np.ndarray, percent: int, least: int):
                     if names[i] not in seen:
                         seen.add(names[i])
                         new[i] = True
-                sizes, back = np.unique(x.sizes, return_inverse=True)
-                for n in sizes.tolist():
-                    if n not in known:
-                        known[n] = prefixes(n, percent)
-                wanted = np.array([known[n] for n in sizes.tolist()], np.int64).reshape(-1, 2)[back]
-                rare = often[(x.tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                # lists travel with the narrower sketch
+                sketch = np.bitwise_xor(*_sketch(x))
+                level = often[(x.tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 # tokens of a line ascend, so a stable sort leaves those that are as rare in that order
-                order = np.argsort(x.of.astype(np.int64) << 32 | rare, kind="stable")
-                tokens, rare = x.tokens[order], rare[order]
+                order = np.argsort(x.of.astype(np.int64) << 32 | level, kind="stable")
+                tokens, level = x.tokens[order], level[order]
                 at = np.arange(len(order)) - (x.ends - x.sizes)[x.of]
-                lists, members = [], []
-                for kind in (0, 1):
-                    # the last token of a prefix has no neighbour in it
-                    first = np.flatnonzero(new[x.of] & (at + kind < np.minimum(wanted[x.of, kind], x.sizes[x.of])))
+                rare = np.bincount(x.of[level <= RARE], minlength=len(x.sizes))
+                single, short, near = (np.zeros(len(x.sizes), np.int64) for _ in range(3))
+                alike, back = np.unique(np.stack([x.sizes[new], rare[new]], axis=1), axis=0, return_inverse=True)
+                found = []
+                for n, r in alike.tolist():
+                    if n not in known:
+                        known[n] = wanted(n, percent)
+                    one, few, pairs = known[n]
+                    found.append((one, few, pairs[r] if r < len(pairs) else 0))
+                single[new], short[new], near[new] = np.array(found, np.int64).reshape(-1, 3)[back.reshape(-1)].T
+                behind = at - rare[x.of]
+                alone = new[x.of] & ((at < single[x.of]) | (at < short[x.of]) & (level <= RARE))
+                # the last token of a prefix has no neighbour in it
+                paired = new[x.of] & (behind >= 0) & (behind + 1 < np.minimum(near, x.sizes - rare)[x.of])
+                for kind, chosen in enumerate((alone, paired)):
+                    first = np.flatnonzero(chosen)
                     name = mix(tokens[first] * PLACE[5])
                     if kind:
                         name = mix(name + tokens[first + 1] * PLACE[6])
-                    own = a[x.of[first]]
+                    of = x.of[first]
                     # a list is no longer than its first token is frequent, whichever line asks
-                    shares = np.minimum(rare[first].astype(np.int64) // SHARE + 1, (1 << SHARE_BITS) - 1).astype(np.uint64)
-                    share = np.where(shares > 1, mix(own.view(np.uint64) + PLACE[7]) % shares + np.uint64(1), np.uint64(0))
-                    lists.append(name >> np.uint64(SHARE_BITS) << np.uint64(SHARE_BITS) | share)
-                    members.append(own | np.minimum(at[first], LATE))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(lists).view(np.int64)), pa.array(np.concatenate(members))], ["list", "member"]
-                )
+                    shares = np.minimum(COUNTS[level[first]] // SHARE + 1, (1 << SHARE_BITS) - 1).astype(np.uint64)
+                    share = np.where(shares > 1, mix(a[of].view(np.uint64) + PLACE[7]) % shares + np.uint64(1), np.uint64(0))
+                    name = name >> np.uint64(SHARE_BITS) << np.uint64(SHARE_BITS) | share
+                    rows.append((name.view(np.int64), a[of] | np.minimum(at[first], LATE), sketch[of], x.sizes[of].astype(np.int32)))
+                if sum(len(r[0]) for r in rows) >= ROWS:
+                    yield _packed(rows, parts)
+                    rows = []
+        if rows:
+            yield _packed(rows, parts)
+
+    return run
+
+
+def _met(percent: int):
+    """(list, member) of the packed rows of some whole lists, without members that no other one can be similar to."""
+
+    def run(group: pa.Table) -> pa.Table:
+        lists, members, sketches, sizes = (np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in PACKED.items())
+        # a class comes from as many tasks as have a line of it
+        order = np.lexsort((sizes, sketches, members, lists))
+        lists, members, sketches, sizes = (c[order] for c in (lists, members, sketches, sizes))
+        new = np.ones(len(lists), bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in (lists, members, sketches, sizes)], axis=0)
+        lists, members, sketches, sizes = (c[new] for c in (lists, members, sketches, sizes))
+        first = np.flatnonzero(np.diff(lists, prepend=~lists[:1]))
+        length = np.diff(first, append=len(lists))
+        left = np.repeat(first + length, length) - np.arange(len(lists)) - 1
+        # the shares of a dealt list meet others elsewhere
+        dealt = lists & ((1 << SHARE_BITS) - 1) > 0
+        length = np.repeat(length, length)
+        stay = dealt | (length > COMPARED)
+        place, n = members & LATE, sizes.astype(np.int64)
+        u, step = np.flatnonzero(~stay & (left > 0)), 1
+        while len(u):
+            v = u + step
+            both, least = n[u] + n[v], np.minimum(place[u], place[v])
+            most = least + np.minimum(n[u] - place[u], n[v] - place[v])
+            placed = (np.maximum(place[u], place[v]) >= LATE) | (most * (100 + percent) >= both * percent)
+            # unsigned: of a negative number numpy counts the bits of its absolute value
+            apart = np.bitwise_count(sketches[u] ^ sketches[v]).astype(np.int64)
+            likely = placed & (apart * (100 + percent) <= both * (100 - percent))
+            likely &= np.minimum(n[u], n[v]) * 100 >= np.maximum(n[u], n[v]) * percent
+            stay[u[likely]] = stay[v[likely]] = True
+            step += 1
+            u = u[left[u] >= step]
+        return pa.table({"list": pa.array(lists[stay]), "member": pa.array(members[stay])})
 
     return run
 
@@ -225,14 +357,14 @@ def _row(text: str = "text") -> Column:
 
 
 def _possible(u: Column, v: Column, percent: int) -> Column:
-    """Whether two members (n, pos, sketch) of a list may be similar, by length, position and sketch.
+    """Whether two members (n, pos, even, odd) of a list may be similar, by length, position and sketch.
 
     Shared tokens before that of the list stand before it in both sets, and those behind it behind it in both.
     """
     both, alike = u["n"] + v["n"], F.least(u["n"], v["n"]) * 100 >= F.greatest(u["n"], v["n"]) * percent
     most = F.least(u["pos"], v["pos"]) + F.least(u["n"] - u["pos"], v["n"] - v["pos"])
     placed = (F.greatest(u["pos"], v["pos"]) >= LATE) | (most * (100 + percent) >= both * percent)
-    apart = F.bit_count(u["sketch"].bitwiseXOR(v["sketch"]))
+    apart = F.bit_count(u["even"].bitwiseXOR(v["even"])) + F.bit_count(u["odd"].bitwiseXOR(v["odd"]))
     return alike & placed & (apart * (100 + percent) <= both * (100 - percent))
 
 
@@ -255,10 +387,10 @@ def line_matches(docs: DataFrame, percent: int = 80, least: int = LEAST) -> tupl
         each = lined.select("doc_id", "row", F.explode("lines").alias("l"))
         place = F.struct("doc_id", "row", F.col("l.line").alias("line"))
         # size and sketch of a class are the same wherever they come from
-        same = F.struct(F.col("l.n").alias("n"), F.col("l.sketch").alias("sketch"))
+        same = F.struct(*[F.col(f"l.{c}").alias(c) for c in ("n", "even", "odd")])
         classes = each.groupBy("l.a", "l.b").agg(F.min(place).alias("first"), F.first(same).alias("c"), F.count("*").alias("copies"))
         # numbered in the order of their first places
-        classes = assign_ids(classes.select("a", "b", "first", "c.*", "copies"), ["first"], 1, "id", run.keep)
+        classes = assign_ids(run.keep(classes.select("a", "b", "first", "c.*", "copies")), ["first"], 1, "id", run.keep)
         matched = _matched(run, source, classes, percent, least)
         out = classes.join(matched.withColumn("matched", F.lit(True)), "id", "left")
         out = out.select("a", "b", "first", F.coalesce("matched", F.lit(False)).alias("matched"), "copies").where("matched or copies > 1")
@@ -269,17 +401,18 @@ def line_matches(docs: DataFrame, percent: int = 80, least: int = LEAST) -> tupl
 
 def _matched(run: Run, source: DataFrame, classes: DataFrame, percent: int, least: int) -> DataFrame:
     """(id) of the classes with an earlier similar one."""
-    rows = by_batches(source.select("text"), _listed(frequencies(source), percent, least), "list long, member long")
-    whole, name = Window.partitionBy("list"), F.col("member").bitwiseAND(F.lit(~LATE))
-    rows = rows.withColumns({"least": F.min(name).over(whole), "most": F.max(name).over(whole)})
-    dealt = F.col("list").bitwiseAND(F.lit((1 << SHARE_BITS) - 1)) > 0
-    rows = rows.where((F.col("least") < F.col("most")) | dealt).select("list", "member").distinct()
-
-    x = F.struct("n", F.col("member").bitwiseAND(F.lit(LATE)).cast("int").alias("pos"), "sketch").alias("x")
+    often, words = frequencies(source)
+    # as many groups as the rows need; a list is no longer than SHARE allows
+    listed = _listed(often, percent, least, min(max(words // GROUP, 64), 1 << 16))
+    rows = by_batches(source.select("text"), listed, PACKED_SCHEMA)
+    rows = rows.groupBy("part").applyInArrow(_met(percent), "list long, member long").distinct()
+    name, dealt = F.col("member").bitwiseAND(F.lit(~LATE)), F.col("list").bitwiseAND(F.lit((1 << SHARE_BITS) - 1)) > 0
+
+    x = F.struct("n", F.col("member").bitwiseAND(F.lit(LATE)).cast("int").alias("pos"), "even", "odd").alias("x")
     token = F.shiftright("list", SHARE_BITS).alias("token")
-    ordered = whole.orderBy("id")
+    ordered = Window.partitionBy("list").orderBy("id")
     with Run(source.sparkSession) as part:
-        members = part.keep(rows).withColumn("a", name).join(classes.select("a", "id", "n", "sketch"), "a").select("list", "id", x)
+        members = part.keep(rows).withColumn("a", name).join(classes.select("a", "id", "n", "even", "odd"), "a").select("list", "id", x)
         centre = F.first(F.struct("id", "x")).over(ordered)
         members = members.withColumns({"rank": F.row_number().over(ordered), "centre": centre})
         near = (F.col("rank") > 1) & _possible(F.col("centre.x"), F.col("x"), percent)

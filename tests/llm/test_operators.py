@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -379,6 +380,50 @@ def test_similar_sets_meet_in_their_prefixes():
     assert met > 3000
 
 
+def test_similar_sets_meet_whatever_is_rare():
+    """Rare tokens list singly, the others by neighbours: similar sets share a list, however many of their tokens are rare."""
+    rng, met = np.random.default_rng(5), 0
+    for percent in (30, 50, 80, 90):
+        for _ in range(4000):
+            shared, left, right = (int(rng.integers(0, most)) for most in (40, 8, 8))
+            places = rng.permutation(shared + left + right)
+            u, v = set(places[: shared + left].tolist()), set(places[:shared].tolist()) | set(places[shared + left :].tolist())
+            if not u or not v or u == v or 100 * len(u & v) < percent * len(u | v):
+                continue
+            met += 1
+            for rare in (0, 3, int(rng.integers(0, 56)), 56):
+                single, pairs = [], []
+                for own in (sorted(u), sorted(v)):
+                    one, few, near = linededup.wanted(len(own), percent)
+                    others = [x for x in own if x >= rare]
+                    held = len(own) - len(others)
+                    others = others[: near[held] if held < len(near) else 0]
+                    single.append(set(own[:one]) | {x for x in own[:few] if x < rare})
+                    pairs.append(set(zip(others, others[1:])))
+                assert single[0] & single[1] or pairs[0] & pairs[1], (percent, rare, u, v)
+    assert met > 3000
+    # a line of 47 words: rows with many rare words, with none
+    assert linededup.wanted(47, 80)[1] < 12 < linededup.prefixes(47, 80)[1]
+
+
+def test_members_that_meet_nothing_similar_are_left_out():
+    """Of unlike sets in one list none goes on, of alike ones both; a dealt list and a long one stay whole."""
+    long = linededup.COMPARED + 1
+    rows = [(1 << 16, 1 << 8, 0, 10), (1 << 16, 2 << 8, -1, 10), (2 << 16, 1 << 8, 0, 10), (2 << 16, 3 << 8, 1, 10), (2 << 16, 3 << 8, 1, 10)]
+    rows += [(3 << 16 | 1, 1 << 8, 0, 10), (4 << 16, 1 << 8, 0, 10), (4 << 16, 4 << 8, 0, 20)]
+    rows += [(5 << 16, i << 8, 0, 4**i) for i in range(1, 3)] + [(6 << 16, i << 8, -1 * (i % 2), 10 + i) for i in range(long)]
+    # sketches that differ in all bits but one: few bits if they were read as a signed number
+    rows += [(7 << 16, 1 << 8, 0, 10), (7 << 16, 2 << 8, -2, 10), (8 << 16, 1 << 8, 1 << 62, 20), (8 << 16, 2 << 8, -(1 << 62), 20)]
+    columns = dict(zip(linededup.PACKED.items(), zip(*rows)))
+    signed = {c: [np.array(v[:3], np.int64), np.array(v[3:], np.int64)] for (c, _), v in columns.items()}
+    packed = {c: pa.array([x.astype(t).tobytes() for x in signed[c]], pa.binary()) for c, t in linededup.PACKED.items()}
+    got = linededup._met(80)(pa.table(packed)).to_pydict()
+    got = list(zip(got["list"], got["member"]))
+    assert got[:3] == [(2 << 16, 1 << 8), (2 << 16, 3 << 8), (3 << 16 | 1, 1 << 8)]
+    assert len(got) == 5 + long and {x for x, _ in got[3:-2]} == {6 << 16}
+    assert got[-2:] == [(8 << 16, 1 << 8), (8 << 16, 2 << 8)]  # one bit apart, the sign
+
+
 def test_line_dedup_of_long_lists(spark, monkeypatch):
     """Lists longer than one pass, dealt over tasks, with chains of near lines: equal to all pairs by hand."""
     monkeypatch.setattr(linededup, "SHARE", 16)
