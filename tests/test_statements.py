@@ -355,3 +355,30 @@ def test_payment_sides_are_kept_narrow_with_the_same_result(spark, table):
     cols = ["cd_con_pag", "cd_fatura", "tp_indicador", "vl_lancamento"]
     assert values(staged, *cols) == values(plain, *cols) == [(1, 10, 1, 1.0), (3, 30, 1, 3.0)]
     assert len(kept) == 8
+
+
+def test_sides_that_grow_together_are_not_broadcast(spark, table, secrets, registry, tmp_path):
+    """By the bytes of its file either side may look small; its rows would meet in the driver."""
+    def stored(name, df):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / name))
+
+    rows = dict(message=message(1), request=dict(cd_pai=1), req_proto=dict(cd_pai=1), payment=dict(cd_itcon_pag=1),
+                payable_item=dict(cd_itcon_pag=1), payable=dict(cd_con_pag=1), supplier=dict(cd_fornecedor=1))
+    t = {n: stored(n, table(n, row)) for n, row in rows.items()}
+    known = {n: stored(n, df) for n, df in (secrets | {"providers": registry["providers"]}).items()}
+    asked = stored("asked", spark.range(3).selectExpr(f"id {a.REQUEST}", "2L cd_prestador", "date'2024-01-05' dt_solicitacao"))
+    period = asked.selectExpr("*", "1L id", "'202401' dt_competencia", "dt_solicitacao dt_dia")
+    logins = t["message"].selectExpr("*", "1L cd_multi_empresa", "'p7' ds_login", "'k7' ds_senha_enviada")
+    joins = {
+        "requests": (a.requests(t["message"], t["request"]), 1),
+        "protocols": (a.requested_protocols(asked, t["req_proto"]), 1),
+        "payments": (p.paid_on(t["payable_item"], t["payment"]), 1),
+        "suppliers": (p.supplier_of_item(t["payable_item"], t["payable"], t["supplier"]), 2),
+        "unpaid": (p.no_payment_errors(period, asked), 1),
+        "authorisers": (h.match_credentials(logins, **known), 3),  # the configuration is broadcast
+    }
+    for name, (df, n) in joins.items():
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("SortMergeJoin") >= n, name
+        assert name == "authorisers" or "BroadcastHashJoin" not in plan, name
