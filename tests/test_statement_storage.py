@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks.catalog import AS_OF, TENANT, Frames
+from checks.catalog import AS_OF, ENTRIES, TENANT, Frames
+from claimspark.operators.analysis import REQUEST
 from claimspark.plans import storage
 from claimspark.schemas import schema
 from claimspark.session import Run, shared_dir
@@ -117,3 +118,34 @@ def test_no_frame_of_a_run_stays(spark, base):
     assert Folder(spark, f"{shared_dir(spark)}/runs").names() == []
     folder = Folder(spark, f"{shared_dir(spark)}/runs")
     assert len(folder._fs.listStatus(folder._at(""))) == 0
+
+
+def test_numbers_and_stored_rows_do_not_meet_in_the_driver(spark, base, tmp_path, monkeypatch):
+    """Files hold ids in a byte or two, so by their bytes the parents of very many rows look small enough to be broadcast."""
+    with Run(spark) as run:
+        asked = spark.range(20).withColumnRenamed("id", REQUEST)
+        tops = storage.numbered_requests(asked, storage.Numbers(run, str(tmp_path), "b1"))
+        plan = asked.join(tops, REQUEST)._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    monkeypatch.setitem(Frames._stored, (spark.sparkContext.applicationId, SF), base)
+    for name, joins in (("s3_stored_summaries", 3), ("s3_stored_procedures", 4)):
+        plan = ENTRIES[name].run(spark, SF)._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("SortMergeJoin") == joins and "BroadcastHashJoin" not in plan
+
+
+def test_providers_are_looked_up_for_one_kind_of_request_at_a_time(spark, tmp_path, monkeypatch):
+    """Each look-up sends the providers by three keys through the driver."""
+    judged, real = [], Run.keep
+
+    def keep(run, df):
+        judged.extend(["begun"] * ("g_corpo" in df.columns))
+        kept = real(run, df)
+        judged.extend(["ended"] * ("g_corpo" in df.columns))
+        return kept
+
+    monkeypatch.setattr(Run, "keep", keep)
+    for tree in ("analysis_tree", "payment_tree"):
+        monkeypatch.setattr(storage, tree, lambda f, *_: judged.append("tree") or {"error": f["error"]})
+    with Run(spark) as run, pytest.raises(KeyError):  # the trees are left out
+        storage.stored_statements(Mixed(spark, SF), AS_OF, TENANT, storage.Numbers(run, str(tmp_path), "b1"))
+    assert judged == ["begun", "ended"] * 2 + ["tree"] * 2
